@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, pii, secrets, spans, urls
+from . import chat, decontaminate, embeddings, mixing, pii, secrets, spans, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,17 +86,72 @@ FROM laid GROUP BY conv_id
 """
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents that lie in windows of benchmark items."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+OP7_SQL = r"""
+WITH iw AS (
+  SELECT item_id, w, len(w) AS n, least(len(w), 10) AS m
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)
+), windows AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[s:s + m - 1], ' ') AS win FROM (SELECT *, unnest(range(1, n - m + 2)) AS s FROM iw WHERE n > 0)
+), docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), dwin AS (
+  SELECT doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') AS win
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM docs, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m)
+), hits AS (SELECT doc_id, item_id, m, s FROM dwin JOIN windows USING (m, win)),
+words AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(s, s + m)) AS i FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights 1, 2, 3 by source."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all embeddings at cosine 0.95."""
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", F.col("component").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+), good AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+  WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_dot_product(e, e) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least_ids AS (SELECT a, min(b) AS m FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id <= coalesce(m, vec_id) AS kept
+FROM embeddings LEFT JOIN least_ids ON vec_id = least_ids.a LEFT JOIN n ON vec_id = n.a
+"""
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_urls": op2_urls,
     "op5_pii": op5_pii,
     "op6_chat": op6_chat,
+    "op7_decontaminate": op7_decontaminate,
     "op9_mix": op9_mix,
+    "op10_embeddings": op10_embeddings,
 }
-ORACLE_SQL = {"op2_urls": OP2_SQL, "op6_chat": OP6_SQL}
+ORACLE_SQL = {"op2_urls": OP2_SQL, "op6_chat": OP6_SQL, "op7_decontaminate": OP7_SQL, "op10_embeddings": OP10_SQL}
