@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embeddings, mixing, pii, secrets, spans, urls
+from . import chat, decontaminate, embeddings, mixing, ngram_join, pii, secrets, spans, substring, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,47 @@ SELECT page_id, host, path, b.rule AS rule, coalesce(b.v, 'allow') AS verdict FR
 """
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 4-word shingles overlap by 85 in 100."""
+    found = ngram_join.similar_documents(table(spark, sf_dir, "documents"), ngram_join.JoinRule(words=4, num=85, den=100))
+    return found.withColumnRenamed("component", "component_id")
+
+
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+often AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM (SELECT * FROM s SEMI JOIN often USING (g)) a JOIN (SELECT * FROM s SEMI JOIN often USING (g)) b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM c JOIN n na ON a = na.doc_id JOIN n nb ON b = nb.doc_id WHERE 100 * i >= 85 * (na.n + nb.n - i)),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+m AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m ON w.doc_id = m.a
+"""
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents outside all 13-word windows that an earlier document holds."""
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"), width=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP4_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >= 13)
+), late AS (SELECT doc_id, i FROM win JOIN (SELECT g, min(doc_id) AS m FROM win GROUP BY g) USING (g) WHERE doc_id > m),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM late),
+word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text of documents."""
     found = pii.pii_spans(table(spark, sf_dir, "documents"))
@@ -115,6 +156,14 @@ FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labelled rows outside the held-out quarter."""
+    held_out = lambda c: F.coalesce(F.crc32(F.col(c).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id")).select("doc_id", "toxic")
+    scored = toxicity.score_toxicity(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("segments").alias("n_segments"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights 1, 2, 3 by source."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
@@ -148,10 +197,13 @@ FROM embeddings LEFT JOIN least_ids ON vec_id = least_ids.a LEFT JOIN n ON vec_i
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_urls": op2_urls,
+    "op3_ngram_join": op3_ngram_join,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_pii": op5_pii,
     "op6_chat": op6_chat,
     "op7_decontaminate": op7_decontaminate,
+    "op8_toxicity": op8_toxicity,
     "op9_mix": op9_mix,
     "op10_embeddings": op10_embeddings,
 }
-ORACLE_SQL = {"op2_urls": OP2_SQL, "op6_chat": OP6_SQL, "op7_decontaminate": OP7_SQL, "op10_embeddings": OP10_SQL}
+ORACLE_SQL = {"op2_urls": OP2_SQL, "op3_ngram_join": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op6_chat": OP6_SQL, "op7_decontaminate": OP7_SQL, "op10_embeddings": OP10_SQL}

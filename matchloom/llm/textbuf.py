@@ -105,6 +105,13 @@ class Words:
     def __len__(self) -> int:
         return len(self.h)
 
+    def ranges(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Names (not mixed) of the word sequences [low, high)."""
+        n = len(self.h)
+        c = np.zeros(n + 1, U64)
+        np.cumsum(self.h * _powers(_P, n)[:n], out=c[1:])
+        return (c[high] - c[low]) * _powers(_PI, n + 1)[low] + (high - low).astype(U64) * U64(0xE7037ED1A0B428DB)
+
     def grams(self, k: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(index of its first word, name) of every run of k words within one row."""
         n = len(self.h) - k + 1
