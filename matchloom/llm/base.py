@@ -45,6 +45,26 @@ def unstage(*frames: DataFrame) -> None:
             p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
 
 
+def carried(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> tuple[DataFrame, list[str], str]:
+    """(id, text, _c0, _c1, ...) of a table, the names of the carried columns but the text, and their schema.
+
+    A text that is carried travels once, as ``text``; names of other columns cannot clash with an operator's own.
+    """
+    others = [c for c in carry if c != text_col]
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(c).alias(f"_c{i}") for i, c in enumerate(others)))
+    names = [f"_c{i}" for i in range(len(others))] + (["text"] if text_col in carry else [])
+    schema = "".join(f", {n} {source.schema[n].dataType.simpleString()}" for n in names)
+    return source, names, schema
+
+
+def restored(out: DataFrame, id_col: str, text_col: str, carry: list[str], own: list[str]) -> DataFrame:
+    """The operator's own columns under their names, then the carried ones under theirs."""
+    others = [c for c in carry if c != text_col]
+    return out.select(
+        F.col("id").alias(id_col), *own, *(F.col(f"_c{others.index(c)}" if c != text_col else "text").alias(c) for c in carry if c != id_col)
+    )
+
+
 def semi_join(df: DataFrame, ids: DataFrame, on: list[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``ids`` (staged): a broadcast up to BROADCAST_ROWS keys, a shuffle beyond."""
     ids = ids.select(*on).distinct()

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import stage
+from .base import carried, restored, stage
 from .textbuf import NON_WORD, U64, Words, pieces, signed
 
 #: Benchmark words up to which its index is shipped to the tasks (about 100 bytes each); more are joined by shuffles.
@@ -132,12 +132,13 @@ def word_counts(docs: DataFrame, text_col: str, wanted: np.ndarray) -> dict[int,
     return {r["word"]: r["n"] for r in counted.collect()}
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", carry: list[str] = ()) -> DataFrame:
     """(id, n_words, n_hit, items) of each document: words inside any occurrence of an item's window, and the items found.
 
     A window is k consecutive words of an item, or all words of a shorter one; texts are lower-cased (A-Z), words are runs
     of digits, letters and non-ASCII characters. Null and empty texts have no words; items without words have no window;
-    repeated rows are judged alike; other columns are not read. ``items`` holds distinct ids in no fixed order.
+    repeated rows are judged alike; other columns are not read. ``items`` holds distinct ids in no fixed
+    order. Columns to ``carry`` follow the result.
 
     Up to INDEX_WORDS benchmark words the windows are shipped to the tasks and no document is shuffled; beyond that the
     windows are joined by name (``contamination_by_join``).
@@ -146,7 +147,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, k: int = 10, id_col: st
     # spaces and cuts bound the number of words from above by half the characters plus one
     size = items.agg(F.sum(F.length("text")), F.count(F.lit(1))).first()
     if (size[0] or 0) // 2 + size[1] > INDEX_WORDS * 4:
-        return contamination_by_join(docs, benchmark, k, id_col, text_col, item_col, item_text_col)
+        out = contamination_by_join(docs, benchmark, k, id_col, text_col, item_col, item_text_col)
+        if not carry:
+            return out.drop("key")
+        rows = docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), *(c for c in carry if c != id_col))
+        return out.dropDuplicates(["key"]).join(rows, "key").drop("key")
     rows = items.collect()
     ids, texts = [r["item"] for r in rows], [r["text"] for r in rows]
     wanted = np.unique(Words(pa.array(texts, pa.string()), NON_WORD, lower=True).h)
@@ -164,18 +169,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, k: int = 10, id_col: st
                 found: dict[int, set] = {}
                 for row, e in zip(w.doc[start].tolist(), entry.tolist(), strict=True):
                     found.setdefault(row, set()).update(index.items[e])
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("id"), pa.array(w.count), pa.array(np.bincount(w.doc[hit], minlength=len(w.count)).astype(np.int64)), pa.array([list(found.get(i, ())) for i in range(len(w.count))], arrow_items)],
-                    ["id", "n_words", "n_hit", "items"],
-                )
+                n_hit = np.bincount(w.doc[hit], minlength=len(w.count)).astype(np.int64)
+                own = [piece.column("id"), pa.array(w.count), pa.array(n_hit), pa.array([list(found.get(i, ())) for i in range(len(w.count))], arrow_items)]
+                yield pa.RecordBatch.from_arrays(own + [piece.column(c) for c in names], ["id", "n_words", "n_hit", "items", *names])
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, n_words long, n_hit long, items array<{'bigint' if arrow_items.value_type == pa.int64() else 'string'}>")
-    return out.select(F.col("id").alias(id_col), "n_words", "n_hit", F.col("items").cast(f"array<{item_type}>").alias("items"))
+    source, names, schema = carried(docs, id_col, text_col, list(carry))
+    out = source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, n_words long, n_hit long, items array<{'bigint' if arrow_items.value_type == pa.int64() else 'string'}>{schema}")
+    out = out.withColumn("items", F.col("items").cast(f"array<{item_type}>"))
+    return restored(out, id_col, text_col, list(carry), ["n_words", "n_hit", "items"])
 
 
 def contamination_by_join(docs: DataFrame, benchmark: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The same for benchmarks too large to ship: windows of both sides meet by name and check in a shuffle."""
+    """The same, with the row's key, for benchmarks too large to ship: windows of both sides meet by two names in a shuffle."""
 
     def doc_windows(lengths):
         def run(batches):
@@ -218,7 +223,7 @@ def contamination_by_join(docs: DataFrame, benchmark: DataFrame, k: int = 10, id
 
     counts = keyed.mapInArrow(count, f"id {keyed.schema['id'].dataType.simpleString()}, key long, n_words long")
     out = counts.join(hit, "key", "left").join(which, "key", "left")
-    return out.select(F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast(f"array<{item_type}>")).alias("items"))
+    return out.select("key", F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast(f"array<{item_type}>")).alias("items"))
 
 
 def items_digest(ids: list[str]) -> str:

@@ -91,21 +91,21 @@ def tilts(hist: DataFrame, targets: DataFrame) -> DataFrame:
     return state.select("source", "mean", F.when(F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12), F.lit(1e9)).otherwise(F.col("lam")).alias("lam"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(id, source, size, source_size, target, rate, copies, taken) of each row.
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: list[str] = ()) -> DataFrame:
+    """(id, source, size, source_size, target, rate, copies, taken) of each row, then the columns to ``carry``.
 
     ``rate`` is the tilted rate; ``copies`` rounds it up or down by a draw that depends on the row's id, text and source alone,
     so reruns agree; ``taken`` is size * copies, but in a few rows of each source (FIXES at most) whose last copy is cut or
     extended, within 0 and MOST times their size, by what the rounding left over. A null or empty text has size 0 and takes nothing; a null
     source is a source of its own; equal rows get equal draws.
     """
-    rows = stage(
-        docs.select(
-            F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
-            F.xxhash64(F.lit("mix"), F.col(id_col), F.col(source_col), F.col(text_col)).alias("key"),
-        ),
-        "mix-rows",
+    carry = [c for c in carry if c not in (id_col, source_col)]
+    measured = docs.select(
+        F.col(id_col).alias("id"), F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"),
+        F.xxhash64(F.lit("mix"), F.col(id_col), F.col(source_col), F.col(text_col)).alias("key"),
+        *(F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)),
     )
+    rows = stage(measured.select("id", "source", "size", "key"), "mix-rows")
     hist = stage(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")), "mix-hist")
     targets = stage(source_targets(hist.select("source", (F.col("size") * F.col("docs")).alias("size")), weights), "mix-targets")
     duals = tilts(hist, targets)
@@ -117,10 +117,12 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: s
     bound = F.broadcast(plan) if few else plan
     exponent = F.least(F.try_divide(F.col("lam") * F.col("size"), F.col("mean")), F.lit(50.0))
     draw = F.pmod(F.col("key"), F.lit(1 << 40)) / float(1 << 40)
-    rated = rows.join(bound, F.col("source").eqNullSafe(F.col("s"))).withColumn(
-        "rate", F.when(F.col("size") == 0, 0.0).otherwise(F.least(F.lit(float(MOST)), F.exp(exponent)))
-    )
-    rated = rated.withColumn("copies", F.least(F.floor(F.col("rate") + draw), F.lit(MOST)).cast("long")).drop("s", "mean", "lam")
+
+    def rate(of):
+        out = of.join(bound, F.col("source").eqNullSafe(F.col("s"))).withColumn("rate", F.when(F.col("size") == 0, 0.0).otherwise(F.least(F.lit(float(MOST)), F.exp(exponent))))
+        return out.withColumn("copies", F.least(F.floor(F.col("rate") + draw), F.lit(MOST)).cast("long")).drop("s", "mean", "lam")
+
+    rated = rate(rows)
     whole = F.col("size") * F.col("copies")
     taken = whole + F.coalesce("by", F.lit(0))
     at_fix = F.col("source").eqNullSafe(F.col("s")) & (F.col("key") == F.col("fixed"))
@@ -150,8 +152,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: s
         adjusted = stage(shared.coalesce(1) if few else shared, "mix-fix")
         if not fix.where("by <> 0").limit(1).count():
             break
-    out = rated.join(F.broadcast(adjusted) if few else adjusted, at_fix, "left")
+    out = (rate(measured) if carry else rated).join(F.broadcast(adjusted) if few else adjusted, at_fix, "left")
     return out.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "rate", "copies",
-        taken.cast("long").alias("taken"),
+        taken.cast("long").alias("taken"), *(F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)),
     )

@@ -169,13 +169,14 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: JoinRule)
     return links
 
 
-def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str = "doc_id", text_col: str = "text", with_key: bool = False) -> DataFrame:
     """(id, n_shingles, component) of each row: the size of its set, and the smallest id reachable by links, itself included.
 
     A set is the distinct shingles of ``rule.words`` words (A-Z lower-cased, ASCII whitespace apart); a text with fewer
     words has its whole sequence as one. Two rows link when their sets' Jaccard similarity reaches num / den. Rows without
     words have 0 shingles and link with nothing. Equal sets are one set with many rows; repeated rows fall together. A null
     id counts as no smallest id (a component of null ids alone has a null component). Other columns are not read.
+    ``with_key`` adds the row's key, xxhash64(id, text).
 
     Candidates come in two rounds. In the first, every set in a token's list meets only the list's leader, so a group of
     near copies costs as many pairs as it has members. Verified links join sets into components; in the second round sets
@@ -214,4 +215,4 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
     least = stage(rooted.groupBy("root").agg(F.min("least").alias("component")), "ngram-least")
     named = stage(rooted.join(least, "root").select("sid", "component"), "ngram-named")
     out = rows.join(named, "sid", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+    return out.select(*(["key"] if with_key else []), F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import chat, decontaminate, embeddings, mixing, ngram_join, pii, secrets, spans, substring, toxicity, urls
 
 
@@ -205,5 +207,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_mix": op9_mix,
     "op10_embeddings": op10_embeddings,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {"op2_urls": OP2_SQL, "op3_ngram_join": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op6_chat": OP6_SQL, "op7_decontaminate": OP7_SQL, "op10_embeddings": OP10_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .base import carried, restored
 from .textbuf import NON_WORD, U64, Words, mix, pieces
 
 #: Digits split words here too: a word is a run of letters and non-ASCII characters.
@@ -17,6 +18,9 @@ LETTERS = NON_WORD.copy()
 LETTERS[0x30:0x3A] = True
 
 
+SEGMENTS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
+
+
 @dataclass(frozen=True)
 class Fit:
     """rows: labelled rows that are learned from, at most (the first by hash of the id); chars: labelled texts that are
@@ -256,12 +260,13 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, rule: Fit, id_col: str,
     return [r["text"] for r in rows], [int(r["y"]) for r in rows]
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, rule: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, rule: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", carry: list[str] = ()) -> DataFrame:
     """(id, score, segments) of every document: the calibrated probability of label 1, and every significant toxic passage
     as (start, end, score) in words. Learned from ``labels`` (id, label) that join ``docs``; scored on texts alone.
 
     Null and empty texts score as texts without any segment; so do texts in a language never seen. Without labels the
-    score is 0.5 for all. Repeated rows score alike; other columns are not read. One pass, no shuffle of texts.
+    score is 0.5 for all. Repeated rows score alike; other columns are not read but for those to ``carry``, which
+    follow the result. One pass, no shuffle of texts.
     """
     texts, toxic = sample_labelled(docs, labels, rule, id_col, text_col, label_col)
     shipped = docs.sparkSession.sparkContext.broadcast(train(texts, toxic, rule).__dict__)
@@ -276,8 +281,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rule: Fit = Fit(), id_col
                     features, segments = evidence(model, s)
                     p.append(probability(model, features))
                     found.append([{"start": a, "end": b, "score": float(x)} for a, b, x in segments])
-                yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(p, pa.float64()), pa.array(found, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])))], ["id", "score", "segments"])
+                own = [piece.column("id"), pa.array(p, pa.float64()), pa.array(found, SEGMENTS)]
+                yield pa.RecordBatch.from_arrays(own + [piece.column(c) for c in names], ["id", "score", "segments", *names])
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    out = source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, score double, segments array<struct<start:int,end:int,score:double>>")
-    return out.withColumnRenamed("id", id_col)
+    source, names, schema = carried(docs, id_col, text_col, list(carry))
+    out = source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}, score double, segments array<struct<start:int,end:int,score:double>>{schema}")
+    return restored(out, id_col, text_col, list(carry), ["score", "segments"])
