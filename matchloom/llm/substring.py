@@ -15,7 +15,7 @@ from .recompress import anchors
 from .textbuf import U64, Words, mix, pieces, signed
 
 #: Anchors gathered in a task before hot ones are looked for, documents that make one hot, and shares a hot one is dealt to.
-FLUSH, HOT, SHARES = 1_000_000, 64, 997
+FLUSH, HOT, SHARES = 300_000, 64, 997
 _SALT = 1
 _LAST = (1 << 63) - 1
 

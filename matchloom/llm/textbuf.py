@@ -15,7 +15,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 
 U64 = np.uint64
 #: Bytes of text handled at a time; one longer document is handled alone.
-PIECE = 2 << 20
+PIECE = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
