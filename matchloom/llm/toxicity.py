@@ -69,6 +69,34 @@ def stems(w: Words, length: int) -> np.ndarray:
     return mix(h)
 
 
+class Tokens:
+    """What scoring needs of the words of some texts: names ``h``, names of their stems, ``doc``, ``first`` and ``count``."""
+
+    def __init__(self, h: np.ndarray, stem: np.ndarray, doc: np.ndarray, rows: int):
+        self.h, self.stem, self.doc = h, stem, doc
+        self.count = np.bincount(doc, minlength=rows)
+        self.first = np.cumsum(self.count) - self.count
+
+    @classmethod
+    def of(cls, column: pa.Array, length: int) -> Tokens:
+        """Tokens of a text column, cut piece by piece to bound memory."""
+        h, stem, doc, rows = [np.empty(0, U64)], [np.empty(0, U64)], [np.empty(0, np.int32)], 0
+        for piece in pieces(pa.RecordBatch.from_arrays([column], ["text"])):
+            w = Words(piece.column("text"), LETTERS, lower=True)
+            h.append(w.h)
+            stem.append(stems(w, length))
+            doc.append((w.doc + rows).astype(np.int32))
+            rows += len(piece)
+        return cls(np.concatenate(h), np.concatenate(stem), np.concatenate(doc), rows)
+
+    def rows(self, keep: np.ndarray) -> Tokens:
+        """Those of the texts whose places are in ``keep`` (sorted), renumbered."""
+        new = np.full(len(self.count), -1, np.int32)
+        new[keep] = np.arange(len(keep))
+        use = new[self.doc] >= 0
+        return Tokens(self.h[use], self.stem[use], new[self.doc[use]], len(keep))
+
+
 def log_odds(names: np.ndarray, row: np.ndarray, toxic: np.ndarray, strength: float, parent: np.ndarray | None = None, prior: tuple | None = None):
     """(names, log-odds, z, share of toxic) from counts of rows that hold a name, under a Dirichlet prior.
 
@@ -87,7 +115,7 @@ def log_odds(names: np.ndarray, row: np.ndarray, toxic: np.ndarray, strength: fl
     return uniq, odds, odds * np.sqrt(held + 0.5 * strength / 2), t / (t + c)
 
 
-def token_scores(model: Model, w: Words) -> np.ndarray:
+def token_scores(model: Model, w: Tokens) -> np.ndarray:
     """Score of each token: its own, else its stem's, else that of all others."""
 
     def look(keys, values, h):
@@ -99,7 +127,7 @@ def token_scores(model: Model, w: Words) -> np.ndarray:
     s = look(model.word, model.word_score, w.h)
     unseen = np.isnan(s)
     if unseen.any():
-        s[unseen] = look(model.stem, model.stem_score, stems(w, model.stem_length)[unseen])
+        s[unseen] = look(model.stem, model.stem_score, w.stem[unseen])
     return np.where(np.isnan(s), model.other, s)
 
 
@@ -175,13 +203,12 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
     return w
 
 
-def _statistics(w: Words, toxic: np.ndarray, rule: Fit) -> tuple:
-    stem = stems(w, rule.stem)
-    by_stem = log_odds(stem, w.doc, toxic, rule.strength)
-    return log_odds(w.h, w.doc, toxic, rule.strength, stem, (by_stem[0], by_stem[3])), by_stem
+def _statistics(w: Tokens, toxic: np.ndarray, rule: Fit) -> tuple:
+    by_stem = log_odds(w.stem, w.doc, toxic, rule.strength)
+    return log_odds(w.h, w.doc, toxic, rule.strength, w.stem, (by_stem[0], by_stem[3])), by_stem
 
 
-def _token_model(stats: tuple, w: Words, toxic: np.ndarray, rule: Fit, z: float) -> Model:
+def _token_model(stats: tuple, w: Tokens, toxic: np.ndarray, rule: Fit, z: float) -> Model:
     def kept(score):
         sure = np.flatnonzero(np.abs(score) >= z)
         return np.sort(sure[np.argsort(-np.abs(score[sure]), kind="stable")[: rule.words]])
@@ -197,7 +224,7 @@ def _token_model(stats: tuple, w: Words, toxic: np.ndarray, rule: Fit, z: float)
     return model
 
 
-def _split(score: np.ndarray, w: Words) -> list[np.ndarray]:
+def _split(score: np.ndarray, w: Tokens) -> list[np.ndarray]:
     return [score[a : a + n] for a, n in zip(w.first, w.count, strict=True)]
 
 
@@ -228,14 +255,13 @@ def train(texts: list[str], toxic: list[int], rule: Fit = Fit()) -> Model:
     the token scores, refitted without them, have not seen."""
     y = np.array(toxic, float)
     fold = np.arange(len(y)) % rule.folds
-    arrow = pa.array(texts, pa.string())
+    whole = Tokens.of(pa.array(texts, pa.string()), rule.stem)
     tests = []
     for k in range(rule.folds):
         learn, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
         if len(learn) and len(test):
-            w = Words(arrow.take(pa.array(learn)), LETTERS, lower=True)
-            tests.append((_statistics(w, y[learn], rule), w, y[learn], Words(arrow.take(pa.array(test)), LETTERS, lower=True), test))
-    whole = Words(arrow, LETTERS, lower=True)
+            w = whole.rows(learn)
+            tests.append((_statistics(w, y[learn], rule), w, y[learn], whole.rows(test), test))
     stats = _statistics(whole, y, rule)
     best: tuple[float, Model] | None = None
     for z in rule.z:
@@ -275,7 +301,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, rule: Fit = Fit(), id_col
         model = Model(**shipped.value)
         for batch in batches:
             for piece in pieces(batch):
-                w = Words(piece.column("text"), LETTERS, lower=True)
+                w = Tokens.of(piece.column("text"), model.stem_length)
                 p, found = [], []
                 for s in _split(token_scores(model, w), w):
                     features, segments = evidence(model, s)
