@@ -5,13 +5,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .base import components, stage
 
 #: Vectors whose directions fix the principal axes (a bounded sample; any axes give the same result), leading axes that
 #: the grid order uses, axes that bound distances, and vectors in a block.
-SAMPLE, GRID, BOUND, BLOCK = 4096, 4, 12, 1024
+SAMPLE, GRID, BOUND, BLOCK = 4096, 4, 12, 2048
 
 
 def principal_axes(unit: DataFrame, dim: int) -> np.ndarray:
@@ -161,7 +162,36 @@ def join_blocks(distinct: DataFrame, dim: int, least: float, eps: float) -> tupl
         if keys:
             yield full(len(keys))
 
-    blocks = stage(placed.mapInArrow(block, "block long, keys binary, copies binary, x binary, lo array<double>, hi array<double>"), "vec-blocks")
+    schema = "block long, keys binary, copies binary, x binary, lo array<double>, hi array<double>"
+    parts_ = stage(placed.mapInArrow(block, schema), "vec-parts")
+    # partitions come out uneven: neighbouring short blocks become one
+    sizes = parts_.select("block", (F.length("keys") / 8).alias("n"))
+    whole = sizes.select(F.col("block").alias("part"), F.floor((F.sum("n").over(W.orderBy("block")) - F.col("n")) / BLOCK).alias("whole"))
+
+    def merge(batches):
+        held: dict = {}
+
+        def done():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([held["whole"]], pa.int64()), *(pa.array([b"".join(held[c])], pa.binary()) for c in ("keys", "copies", "x")),
+                 *(pa.array([np.array(held[c]).min(0).tolist() if c == "lo" else np.array(held[c]).max(0).tolist()], pa.list_(pa.float64())) for c in ("lo", "hi"))],
+                ["block", "keys", "copies", "x", "lo", "hi"],
+            )
+
+        for batch in batches:
+            for r in batch.to_pylist():
+                if held and held["whole"] != r["whole"]:
+                    yield done()
+                    held = {}
+                if not held:
+                    held = {"whole": r["whole"], "keys": [], "copies": [], "x": [], "lo": [], "hi": []}
+                for c in ("keys", "copies", "x", "lo", "hi"):
+                    held[c].append(r[c])
+        if held:
+            yield done()
+
+    placed = parts_.join(F.broadcast(whole) if parts <= 1_000_000 else whole, F.col("block") == F.col("part")).drop("part")
+    blocks = stage(placed.repartition("whole").sortWithinPartitions("whole", "block").select("whole", "keys", "copies", "x", "lo", "hi").mapInArrow(merge, schema), "vec-blocks")
     boxes = blocks.select("block", "lo", "hi")
     a, b = boxes.select(F.col("block").alias("a"), F.col("lo").alias("al"), F.col("hi").alias("ah")), boxes.select(F.col("block").alias("b"), F.col("lo").alias("bl"), F.col("hi").alias("bh"))
     # the first axis as strips of width eps: only blocks that share a strip, one of them widened by eps, can be near
