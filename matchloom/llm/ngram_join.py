@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .base import components, semi_join, stage, unstage
+from .base import BROADCAST_ROWS, components, semi_join, stage, unstage
 from .textbuf import SPACE, U64, Words, mix, pieces, shingle_sets, signed
 
 
@@ -18,7 +18,8 @@ from .textbuf import SPACE, U64, Words, mix, pieces, shingle_sets, signed
 class JoinRule:
     """Words of a shingle; the similarity as a fraction; entries of the table of frequent shingles that is shipped to the
     tasks to order shingles (16 bytes each; all others count as equally rare, which changes speed only); documents from
-    which a shingle is hot, so that its rows are dealt to many tasks; shingles a task gathers before it counts them."""
+    which a shingle is hot, so that its rows are dealt to many tasks; shingles a task gathers before it counts them;
+    partners of a set that are verified together."""
 
     words: int = 5
     num: int = 80
@@ -27,6 +28,7 @@ class JoinRule:
     hot: int = 1000
     shares: int = 997
     flush: int = 2_000_000
+    group: int = 64
 
 
 def set_names(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
@@ -117,17 +119,45 @@ def shared_postings(rows: DataFrame) -> DataFrame:
     return both.select("token", "sid", "n", "pos").dropDuplicates(["token", "sid"])
 
 
-def passes(rule: JoinRule, n1, n2, pos1, pos2):
-    """Length filter, and positional filter: what both sets still have from their places on bounds the overlap."""
-    most = F.least(pos1, pos2) + F.least(n1 - pos1, n2 - pos2)
+def passes(rule: JoinRule, n1, n2, pos1, pos2, first: bool = False):
+    """Length filter, and positional filter: what both sets still have from their places on bounds the overlap; so does,
+    unless this is the ``first`` token that they share, what they had before."""
+    most = F.least(n1 - pos1, n2 - pos2) if first else F.least(pos1, pos2) + F.least(n1 - pos1, n2 - pos2)
     return (F.greatest(n1, n2) * rule.num <= F.least(n1, n2) * rule.den) & (most * (rule.num + rule.den) >= (n1 + n2) * rule.num)
 
 
+def open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
+    """(token, sid, n, pos, c, before): rows of the tokens that sets of different components hold, with the set's component and
+    its earlier tokens of that kind. A pair of sets of different components meets in open lists only, so the token that
+    has no common one before it is the first that they share."""
+    marked = stage(lists.join(found.withColumnRenamed("id", "sid"), "sid", "left").withColumn("c", F.coalesce("component", "sid")).drop("component"), "ngram-marked")
+    mixed = stage(marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token"), "ngram-mixed")
+    left = marked.join(mixed, "token", "left_semi")
+    before = W.partitionBy("sid").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
+    out = stage(left.withColumn("before", F.collect_list("token").over(before)), "ngram-open")
+    unstage(marked, mixed)
+    return out
+
+
+def meeting(x: DataFrame, y: DataFrame, rule: JoinRule) -> DataFrame:
+    """(x, xc, y, yc) of sets of different components, each pair once: where they share a token and none before it."""
+    x, y = x.alias("x"), y.alias("y")
+    here = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & passes(rule, F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos"), first=True)
+    return x.join(y, here & ~F.arrays_overlap("x.before", "y.before")).select(F.col("x.sid").alias("x"), F.col("x.c").alias("xc"), F.col("y.sid").alias("y"), F.col("y.c").alias("yc"))
+
+
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: JoinRule) -> DataFrame:
-    """(a, b) of the pairs of sets that reach the similarity. Only sets in pairs are rebuilt from their texts; a suffix filter
-    (sizes between common pivots) precedes the exact intersection."""
-    ids = stage(pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct(), "ngram-ids")
-    keys = stage(sets.join(ids, "sid").select("key"), "ngram-keys")
+    """(a, b) of the pairs of sets that reach the similarity.
+
+    Only sets in pairs are rebuilt from their texts. Each set travels once for each pair in which it is ``b``; the sets of
+    ``a`` travel once for each group of about ``rule.group`` partners, so no task gets all partners of one set. A suffix
+    filter (sizes between common pivots) precedes the exact intersection.
+    """
+    sizes = stage(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m")), "ngram-sizes")
+    dealt = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / rule.group)).alias("share"))
+    members = dealt.select(F.col("b").alias("sid"), "a", "share")
+    wanted = stage(members.union(dealt.select(F.col("a").alias("sid"), "a", "share").distinct()), "ngram-wanted")
+    keys = stage(sets.join(wanted.select("sid").distinct(), "sid").select("key"), "ngram-keys")
 
     def build(batches):
         for batch in batches:
@@ -139,36 +169,43 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: JoinRule)
                 last = np.cumsum(n)
                 yield pa.RecordBatch.from_arrays([signed(sid), pa.array([h[e - m : e].tobytes() for e, m in zip(last, n, strict=True)], pa.binary())], ["sid", "shingles"])
 
-    built = semi_join(docs, keys, ["key"]).select("text").mapInArrow(build, "sid long, shingles binary").dropDuplicates(["sid"])
-    built = stage(built, "ngram-sets")
+    built = semi_join(docs, keys, ["key"]).select("text").mapInArrow(build, "sid long, shingles binary")
+    placed = built.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "sid").withColumn("member", F.col("sid") != F.col("a"))
+    grouped = placed.repartition("a", "share").sortWithinPartitions("a", "share", "member")
 
     def check(batches):
+        group, y = None, None
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), U64), np.frombuffer(y.as_buffer(), U64)
-                both = len(x) + len(y)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                # between neighbouring pivots the sets can share no more than the smaller part
-                i = np.linspace(0, len(x) - 1, 9).astype(np.int64)
-                gx, gy = np.diff(np.concatenate([[0], i, [len(x)]])), np.diff(np.concatenate([[0], at[i], [len(y)]]))
-                if (rule.num + rule.den) * (int(np.minimum(gx, gy).sum()) + len(i)) < rule.num * both:
-                    keep.append(False)
-                    continue
-                inter = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                keep.append(rule.den * inter >= rule.num * (both - inter))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
-
-    with_b = pairs.join(built.select(F.col("sid").alias("b"), F.col("shingles").alias("y")), "b")
-    with_both = with_b.join(built.select(F.col("sid").alias("a"), F.col("shingles").alias("x")), "a")
-    links = stage(with_both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "ngram-links")
-    unstage(ids, keys, built)
+            out_a, out_b = [], []
+            for a, share, sid, member, x in zip(*(batch.column(c).to_pylist() for c in ("a", "share", "sid", "member")), batch.column("shingles"), strict=True):
+                x = np.frombuffer(x.as_buffer(), U64)
+                if not member:
+                    group, y = (a, share), x
+                elif group == (a, share) and similar(x, y, rule):
+                    out_a.append(a)
+                    out_b.append(sid)
+            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+
+    links = stage(grouped.select("a", "share", "sid", "member", "shingles").mapInArrow(check, "a long, b long"), "ngram-links")
+    unstage(sizes, wanted, keys)
     return links
 
 
+def similar(x: np.ndarray, y: np.ndarray, rule: JoinRule) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    both = len(x) + len(y)
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    # between neighbouring pivots the sets share no more than the smaller part
+    i = np.linspace(0, len(x) - 1, 9).astype(np.int64)
+    gx, gy = np.diff(np.concatenate([[0], i, [len(x)]])), np.diff(np.concatenate([[0], at[i], [len(y)]]))
+    if (rule.num + rule.den) * int(np.minimum(gx, gy).sum()) < rule.num * both:
+        return False
+    inter = int((y[np.minimum(at, len(y) - 1)] == x).sum())
+    return rule.den * inter >= rule.num * (both - inter)
+
+
 def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str = "doc_id", text_col: str = "text", with_key: bool = False) -> DataFrame:
     """(id, n_shingles, component) of each row: the size of its set, and the smallest id reachable by links, itself included.
 
@@ -178,10 +215,10 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
     id counts as no smallest id (a component of null ids alone has a null component). Other columns are not read.
     ``with_key`` adds the row's key, xxhash64(id, text).
 
-    Candidates come in two rounds. In the first, every set in a token's list meets only the list's leader, so a group of
-    near copies costs as many pairs as it has members. Verified links join sets into components; in the second round sets
-    of a list in different components meet, each pair of sets being verified once in all. No pair that could join two
-    components is left out, so components are exact.
+    Candidates come in rounds. First every set in a token's list meets only the list's leader, so a group of near copies
+    costs as many pairs as it has members; verified links join sets into components. Lists that still hold several
+    components are joined with themselves: sets of different components meet where they first share a token.
+    Each pair is verified once in all. No pair that could join two components is left out, so components are exact.
     """
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     told = stage(describe(source, rule), "ngram-told")
@@ -192,23 +229,20 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
     lists = stage(shared_postings(postings(source, rule, tokens[order], counts[order])), "ngram-lists")
     sets = stage(rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key")), "ngram-reps")
 
-    lead = stage(lists.groupBy("token").agg(F.min(F.struct(F.xxhash64("sid").alias("r"), F.col("sid"), F.col("n"), F.col("pos"))).alias("l")), "ngram-leaders")
+    # a list's leader is a set that holds few shingles rarer than the token: the least edited one of a group of near copies
+    lead = stage(lists.groupBy("token").agg(F.min(F.struct(F.col("pos").alias("p"), F.xxhash64("sid").alias("r"), F.col("sid"), F.col("n"), F.col("pos"))).alias("l")), "ngram-leaders")
     met = lists.join(lead, "token").where("sid <> l.sid").where(passes(rule, F.col("n"), F.col("l.n"), F.col("pos"), F.col("l.pos")))
     pairs = stage(met.select(F.least("sid", "l.sid").alias("a"), F.greatest("sid", "l.sid").alias("b")).distinct(), "ngram-pairs")
     links = verified(pairs, source, sets, rule)
     found = stage(components(links), "ngram-components")
 
-    marked = stage(lists.join(found.withColumnRenamed("id", "sid"), "sid", "left").withColumn("c", F.coalesce("component", "sid")).drop("component"), "ngram-marked")
-    mixed = stage(marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token"), "ngram-mixed")
-    open_ = stage(marked.join(mixed, "token", "left_semi"), "ngram-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    crossed = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & passes(rule, F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos")))
-    rest = crossed.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
-    rest = stage(rest.join(pairs, ["a", "b"], "left_anti"), "ngram-rest")
-    unstage(lists, lead, marked, mixed, open_)
-    if rest.limit(1).count():
-        links = links.union(verified(rest, source, sets, rule))
+    open_ = open_lists(lists, found)
+    more = meeting(open_, open_, rule).where("xc < yc").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    more = stage(more.join(pairs, ["a", "b"], "left_anti"), "ngram-pairs")
+    if more.limit(1).count():
+        links = links.union(verified(more, source, sets, rule))
         found = stage(components(links), "ngram-components")
+    unstage(lists)
 
     roots = stage(rows.where("n > 0").groupBy("sid").agg(F.min("id").alias("least")), "ngram-sids")
     rooted = stage(roots.join(found.withColumnRenamed("id", "sid"), "sid", "left").select("sid", "least", F.coalesce("component", "sid").alias("root")), "ngram-rooted")
