@@ -54,14 +54,14 @@ def window_entropies(s: str, w: int) -> list[float]:
     count: dict[str, int] = {}
     total, out, bits = 0.0, [], math.log2(w)
     for i, c in enumerate(s):
-        n = count.get(c, 0)
-        total += gain[n + 1] - gain[n]
-        count[c] = n + 1
         if i >= w:
             o = s[i - w]
             n = count[o]
             total += gain[n - 1] - gain[n]
             count[o] = n - 1
+        n = count.get(c, 0)
+        total += gain[n + 1] - gain[n]
+        count[c] = n + 1
         if i >= w - 1:
             out.append(bits - total / w)
     return out
