@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .base import stage, unstage
+from .base import stage
 
 #: No document is taken more often than this, nor a source beyond this multiple of its size.
 MOST = 3
@@ -14,15 +14,16 @@ MOST = 3
 STEPS, GAP = 40, 1e-9
 #: Rounds in which one row of each source takes up what rounding has left over.
 FIXES = 4
-#: Sources whose tables of one row each may be broadcast; more are joined.
+#: Sources whose tables of a row each may be broadcast or pass through the driver; more are staged and joined.
 FEW = 100_000
 
 
 def n_words(text):
     """Number of ``[^\\x20\\x09-\\x0D]+`` in a text; null: 0."""
-    parts = F.split(F.translate(text, "\t\n\x0b\x0c\r", "     "), " +", -1)
-    some = F.size(parts) - (F.element_at(parts, 1) == "").cast("int") - ((F.size(parts) > 1) & (F.element_at(parts, -1) == "")).cast("int")
-    return F.when(text.isNull(), 0).otherwise(some).cast("long")
+    for c in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    # one literal space is split without a regular expression
+    return F.coalesce(F.size(F.array_remove(F.split(text, " ", -1), "")).cast("long"), F.lit(0).cast("long"))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -44,7 +45,12 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
     return found.select("source", "source_size", F.least("cap", F.coalesce(F.col("weight") * F.col("level"), F.col("cap"))).alias("target"))
 
 
-def tilts(hist: DataFrame, targets: DataFrame) -> DataFrame:
+def held(df: DataFrame, few: bool) -> DataFrame:
+    """A table of a row or a few for each source, cut from its lineage: by way of the driver up to FEW sources, else staged."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema) if few else stage(df, "mix")
+
+
+def tilts(hist: DataFrame, targets: DataFrame, few: bool) -> DataFrame:
     """(source, mean, lam): the dual solution. A document's rate is least(MOST, exp(lam * size / mean)), which minimises
     the relative entropy to rate 1 under sum(rate * size) = target for each source and rate <= MOST.
 
@@ -54,13 +60,12 @@ def tilts(hist: DataFrame, targets: DataFrame) -> DataFrame:
     mean = hist.groupBy("source").agg((F.sum(F.col("size") * F.col("docs")) / F.sum("docs")).alias("mean"))
     goal = targets.select(F.col("source").alias("s"), "target", "source_size")
     # a tilt of 50 mean sizes puts any document that matters at its bound
-    state = stage(
+    state = held(
         mean.join(goal, F.col("source").eqNullSafe(F.col("s"))).select("source", "mean", "target", "source_size",
             F.lit(0.0).alias("lam"), F.lit(-1e6).alias("lo"), F.lit(1e6).alias("hi"),
             ((F.col("source_size") <= 0) | (F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12))).alias("done")),
-        "mix",
+        few,
     )
-    few = state.count() <= FEW
     for _ in range(STEPS):
         open_ = state.where("NOT done").withColumnRenamed("source", "s")
         x = F.try_divide(F.col("size"), F.col("mean"))
@@ -83,9 +88,7 @@ def tilts(hist: DataFrame, targets: DataFrame) -> DataFrame:
             F.col("lam").alias("was"),
         )
         new = new.withColumn("lam", F.when(F.col("done"), F.col("was")).otherwise(F.col("lam"))).drop("was")
-        after = stage(new.coalesce(1) if few else new, "mix")
-        unstage(state)
-        state = after
+        state = held(new, few)
         if not state.where("NOT done").limit(1).count():
             break
     return state.select("source", "mean", F.when(F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12), F.lit(1e9)).otherwise(F.col("lam")).alias("lam"))
@@ -107,13 +110,13 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: s
     )
     rows = stage(measured.select("id", "source", "size", "key"), "mix-rows")
     hist = stage(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")), "mix-hist")
-    targets = stage(source_targets(hist.select("source", (F.col("size") * F.col("docs")).alias("size")), weights), "mix-targets")
-    duals = tilts(hist, targets)
+    few = hist.select("source").distinct().count() <= FEW
+    targets = held(source_targets(hist.select("source", (F.col("size") * F.col("docs")).alias("size")), weights), few)
+    duals = tilts(hist, targets, few)
     plan = targets.select(F.col("source").alias("s"), "source_size", "target").join(
         duals.select(F.col("source").alias("s2"), "mean", "lam"), F.col("s").eqNullSafe(F.col("s2"))
     ).drop("s2")
-    plan = stage(plan, "mix-plan")
-    few = plan.count() <= FEW
+    plan = held(plan, few)
     bound = F.broadcast(plan) if few else plan
     exponent = F.least(F.try_divide(F.col("lam") * F.col("size"), F.col("mean")), F.lit(50.0))
     draw = F.pmod(F.col("key"), F.lit(1 << 40)) / float(1 << 40)
@@ -134,13 +137,13 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: s
             F.max(F.struct(taken.alias("most"), F.col("key"))).alias("cut"),
             F.max(F.struct((F.col("size") * MOST - taken).alias("most"), F.col("key"))).alias("add"),
         )
-        fix = stage(
+        fix = held(
             left.where("left <> 0").select(
                 F.col("source").alias("s"),
                 F.when(F.col("left") < 0, F.greatest(F.col("left"), -F.col("cut.most"))).otherwise(F.least(F.col("left"), F.col("add.most"))).alias("by"),
                 F.when(F.col("left") < 0, F.col("cut.key")).otherwise(F.col("add.key")).alias("fixed"),
             ),
-            "mix-fix",
+            few,
         )
         # repeated rows share what one row would take
         same = rated.join(F.broadcast(fix) if few else fix, at_fix).groupBy("s", "fixed").agg(F.count(F.lit(1)).alias("same"))
@@ -149,7 +152,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: s
         shared = shared.where("by <> 0")
         if adjusted is not None:
             shared = shared.union(adjusted.select("s", "fixed", "by")).groupBy("s", "fixed").agg(F.sum("by").alias("by"))
-        adjusted = stage(shared.coalesce(1) if few else shared, "mix-fix")
+        adjusted = held(shared, few)
         if not fix.where("by <> 0").limit(1).count():
             break
     out = (rate(measured) if carry else rated).join(F.broadcast(adjusted) if few else adjusted, at_fix, "left")
