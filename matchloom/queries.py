@@ -37,7 +37,8 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def records(spark: SparkSession, d: str) -> DataFrame:
-    return normalize_records(biz_records(spark, d))
+    """Normalized records, computed once however often a plan (or the next query) reads them; evicted parts are recomputed."""
+    return normalize_records(biz_records(spark, d)).persist()
 
 
 def sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
