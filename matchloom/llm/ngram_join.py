@@ -75,9 +75,10 @@ def describe(docs: DataFrame, rule: JoinRule) -> DataFrame:
 
 
 def postings(docs: DataFrame, rule: JoinRule, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """(token, share, sid, n, pos): the prefix of each set in rare-first order (count in the table, then name).
+    """(token, share, sid, n, pos, end_count, end_name): the prefix of each set in rare-first order (count in the table, then
+    name). A set of n shingles meets any partner within its first n - ceil(n * similarity) + 1 shingles.
 
-    A set of n shingles meets any partner within its first n - ceil(n * similarity) + 1 shingles.
+    One more row for each set, of share -1, has the last place in that order that its prefix reaches.
     """
     shipped = docs.sparkSession.sparkContext.broadcast((tokens, counts))
 
@@ -101,49 +102,77 @@ def postings(docs: DataFrame, rule: JoinRule, tokens: np.ndarray, counts: np.nda
                 pos = np.arange(len(h)) - first[row]
                 use = pos < (n - (rule.num * n + rule.den - 1) // rule.den + 1)[row]
                 h, seen, row, pos = h[order][use], seen[order][use], row[use], pos[use]
+                ends = np.flatnonzero(np.append(row[1:] != row[:-1], True))
                 share = np.where(seen >= rule.hot, 1 + (sid[row] % U64(rule.shares)).astype(np.int64), 0)
                 # copies within the piece are one
                 one = np.unique(mix(h + sid[row] * U64(0x9E3779B97F4A7C15)), return_index=True)[1]
+                last = sid[row[ends]]
+                none = pa.nulls(len(one), pa.int64())
+                both = lambda x, y, t: pa.array(np.concatenate([x, y]).astype(t))
                 yield pa.RecordBatch.from_arrays(
-                    [signed(h[one]), pa.array(share[one].astype(np.int32)), signed(sid[row[one]]), pa.array(n[row[one]].astype(np.int32)), pa.array(pos[one].astype(np.int32))], ["token", "share", "sid", "n", "pos"]
-                )
+                    [
+                        signed(np.concatenate([h[one], last])), both(share[one], np.full(len(ends), -1), np.int32), signed(np.concatenate([sid[row[one]], last])),
+                        both(n[row[one]], n[row[ends]], np.int32), both(pos[one], np.full(len(ends), -1), np.int32),
+                        pa.concat_arrays([none, pa.array(seen[ends])]), pa.concat_arrays([none, signed(h[ends] ^ U64(1 << 63))]),
+                    ],
+                    ["token", "share", "sid", "n", "pos", "end_count", "end_name"],
+                )
 
-    return docs.select("text").mapInArrow(run, "token long, share int, sid long, n int, pos int")
+    return docs.select("text").mapInArrow(run, "token long, share int, sid long, n int, pos int, end_count long, end_name long")
 
 
 def shared_postings(rows: DataFrame) -> DataFrame:
-    """(token, sid, n, pos) of the tokens in prefixes of two different sets or more, once for each set; a hot token is known
-    to be frequent, so its rows stay without being brought together."""
-    by = W.partitionBy("token", "share")
-    both = rows.withColumns({"lo": F.min("sid").over(by), "hi": F.max("sid").over(by)}).where("lo <> hi OR share > 0")
-    return both.select("token", "sid", "n", "pos").dropDuplicates(["token", "sid"])
-
+    """(token, sid, n, pos, some, rest, reach) of the tokens in prefixes of two different sets or more, once for each set; a hot
+    token is known to be frequent, so its rows stay without being brought together.
 
-def passes(rule: JoinRule, n1, n2, pos1, pos2, first: bool = False):
-    """Length filter, and positional filter: what both sets still have from their places on bounds the overlap; so does,
-    unless this is the ``first`` token that they share, what they had before."""
-    most = F.least(n1 - pos1, n2 - pos2) if first else F.least(pos1, pos2) + F.least(n1 - pos1, n2 - pos2)
+    ``some`` is the number of such tokens in the set's prefix, ``rest`` that from this one on, ``reach`` the end of the prefix in
+    the global order.
+    """
+    by = W.partitionBy("token", "share")
+    both = rows.withColumns({"lo": F.min("sid").over(by), "hi": F.max("sid").over(by)}).where("lo <> hi OR share <> 0")
+    once = both.dropDuplicates(["token", "sid"])
+    mine = W.partitionBy("sid")
+    told = once.withColumns(
+        {
+            "rest": F.row_number().over(mine.orderBy(F.desc("pos"))),
+            "some": F.count_if(F.col("share") >= 0).over(mine).cast("int"),
+            "reach": F.max(F.struct("end_count", "end_name")).over(mine),
+        }
+    )
+    return told.where("share >= 0").select("token", "sid", "n", "pos", "some", "rest", "reach")
+
+
+def passes(rule: JoinRule, n1, n2, shared1, shared2, reach1, reach2):
+    """Length filter, and positional filter.
+
+    Of two sets, take the one whose prefix ends earlier. Those of its prefix tokens that no other prefix has cannot be in the
+    other set: they would be in its prefix. So it can share its ``shared`` prefix tokens and what lies behind the prefix.
+    """
+    behind = lambda n: F.floor((n * rule.num + rule.den - 1) / rule.den) - 1
+    most = F.when(reach1 <= reach2, behind(n1) + shared1).otherwise(behind(n2) + shared2)
     return (F.greatest(n1, n2) * rule.num <= F.least(n1, n2) * rule.den) & (most * (rule.num + rule.den) >= (n1 + n2) * rule.num)
 
 
 def open_lists(lists: DataFrame, found: DataFrame) -> DataFrame:
-    """(token, sid, n, pos, c, before): rows of the tokens that sets of different components hold, with the set's component and
-    its earlier tokens of that kind. A pair of sets of different components meets in open lists only, so the token that
-    has no common one before it is the first that they share."""
+    """The rows of tokens that sets of different components hold, with the set's component c."""
     marked = stage(lists.join(found.withColumnRenamed("id", "sid"), "sid", "left").withColumn("c", F.coalesce("component", "sid")).drop("component"), "ngram-marked")
     mixed = stage(marked.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token"), "ngram-mixed")
-    left = marked.join(mixed, "token", "left_semi")
-    before = W.partitionBy("sid").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
-    out = stage(left.withColumn("before", F.collect_list("token").over(before)), "ngram-open")
+    out = stage(marked.join(mixed, "token", "left_semi"), "ngram-open")
     unstage(marked, mixed)
     return out
 
 
-def meeting(x: DataFrame, y: DataFrame, rule: JoinRule) -> DataFrame:
-    """(x, xc, y, yc) of sets of different components, each pair once: where they share a token and none before it."""
-    x, y = x.alias("x"), y.alias("y")
-    here = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") != F.col("y.c")) & passes(rule, F.col("x.n"), F.col("y.n"), F.col("x.pos"), F.col("y.pos"), first=True)
-    return x.join(y, here & ~F.arrays_overlap("x.before", "y.before")).select(F.col("x.sid").alias("x"), F.col("x.c").alias("xc"), F.col("y.sid").alias("y"), F.col("y.c").alias("yc"))
+def meeting(rows: DataFrame, rule: JoinRule) -> DataFrame:
+    """(a, b) of sets of different components, each once.
+
+    Each shared token is taken for the first one: what lies before it would then not be common, which the positional filter
+    uses. Two similar sets pass at the token that is; at later ones the bound is only lower.
+    """
+    x, y = rows.alias("x"), rows.alias("y")
+    side = lambda c: (F.col(f"x.{c}"), F.col(f"y.{c}"))
+    ahead = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * (rule.num + rule.den) >= (F.col("x.n") + F.col("y.n")) * rule.num
+    here = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & ahead & passes(rule, *side("n"), *side("rest"), *side("reach"))
+    return x.join(y, here).select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: JoinRule) -> DataFrame:
@@ -230,15 +259,14 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
     sets = stage(rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key")), "ngram-reps")
 
     # a list's leader is a set that holds few shingles rarer than the token: the least edited one of a group of near copies
-    lead = stage(lists.groupBy("token").agg(F.min(F.struct(F.col("pos").alias("p"), F.xxhash64("sid").alias("r"), F.col("sid"), F.col("n"), F.col("pos"))).alias("l")), "ngram-leaders")
-    met = lists.join(lead, "token").where("sid <> l.sid").where(passes(rule, F.col("n"), F.col("l.n"), F.col("pos"), F.col("l.pos")))
+    lead = stage(lists.groupBy("token").agg(F.min(F.struct(F.col("pos").alias("p"), F.xxhash64("sid").alias("r"), F.col("sid"), F.col("n"), F.col("some"), F.col("reach"))).alias("l")), "ngram-leaders")
+    met = lists.join(lead, "token").where("sid <> l.sid").where(passes(rule, F.col("n"), F.col("l.n"), F.col("some"), F.col("l.some"), F.col("reach"), F.col("l.reach")))
     pairs = stage(met.select(F.least("sid", "l.sid").alias("a"), F.greatest("sid", "l.sid").alias("b")).distinct(), "ngram-pairs")
     links = verified(pairs, source, sets, rule)
     found = stage(components(links), "ngram-components")
 
     open_ = open_lists(lists, found)
-    more = meeting(open_, open_, rule).where("xc < yc").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = stage(more.join(pairs, ["a", "b"], "left_anti"), "ngram-pairs")
+    more = stage(meeting(open_, rule).join(pairs, ["a", "b"], "left_anti"), "ngram-pairs")
     if more.limit(1).count():
         links = links.union(verified(more, source, sets, rule))
         found = stage(components(links), "ngram-components")
