@@ -12,7 +12,7 @@ from .test_brute import brute_components, brute_hits, brute_pii, water
 def test_stages(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     docs = docs.union(docs.limit(3)).union(spark.createDataFrame([(None, None, None, None, None), (None, "x y z", "en", None, 5)], docs.schema)).withColumn("key", docs["lang"])
-    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    labels = P.training_labels(spark, DATA)
     score = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, labels).collect()}
     kept = P.drop_toxic(spark, docs, DATA)
     assert sorted(map(str, rows_unsorted(kept))) == sorted(str(tuple(r)[:5]) for r in docs.collect() if score[r["doc_id"]] < P.TOXIC)
