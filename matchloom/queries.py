@@ -271,7 +271,7 @@ def n17_drop_fillers(spark, d):
 RAGGED = "concat(' S2-', doc_id, ' ,, S3-', doc_id % 7, ',S2-', doc_id, ', ')"
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'S2-' || doc_id || ',S3-' || doc_id % 7 END AS ids, CASE WHEN doc_id % 5 = 0 THEN 0 ELSE 2 END AS n FROM documents")
+@query("SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'S2-' || doc_id || ',S3-' || doc_id % 7 END AS ids, CAST(CASE WHEN doc_id % 5 = 0 THEN 0 ELSE 2 END AS BIGINT) AS n FROM documents")
 def p13_parse_id_list(spark, d):
     ids = parse_ids(F.expr(f"CASE WHEN doc_id % 10 = 0 THEN NULL WHEN doc_id % 10 = 5 THEN '  ' ELSE {RAGGED} END"))
     return docs(spark, d).select("doc_id", F.array_join(ids, ",").alias("ids"), F.size(ids).cast("long").alias("n"))
@@ -401,13 +401,13 @@ def f05_jaccard(spark, d):
 _X = f"""{CANDIDATES},
 sorted AS (SELECT *, {sql_sorted("s1_name")} AS sn, {sql_sorted("c_name")} AS cn, {sql_sorted("s1_addr")} AS sa, {sql_sorted("c_addr")} AS ca FROM cands)
 SELECT s1_id, cand_id, round({sql_ratio("s1_name", "c_name")}, 6) AS name_lev, round(name_sim, 6) AS name_token_set, round({sql_ratio("sn", "cn")}, 6) AS name_token_sort,
-  CASE WHEN s1_name = c_name AND s1_name <> '' THEN 1.0 ELSE 0.0 END AS name_exact,
-  CASE WHEN length(s1_name) >= 3 AND length(c_name) >= 3 AND substr(s1_name, 1, 3) = substr(c_name, 1, 3) THEN 1.0 ELSE 0.0 END AS name_pfx_3,
+  CASE WHEN s1_name = c_name AND s1_name <> '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS name_exact,
+  CASE WHEN length(s1_name) >= 3 AND length(c_name) >= 3 AND substr(s1_name, 1, 3) = substr(c_name, 1, 3) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS name_pfx_3,
   abs(length(s1_name) - length(c_name))::DOUBLE AS name_len_diff, round({sql_ratio("s1_addr", "c_addr")}, 6) AS addr_lev, round(addr_sim, 6) AS addr_token_set, round({sql_ratio("sa", "ca")}, 6) AS addr_token_sort,
-  CASE WHEN s1_addr = c_addr AND s1_addr <> '' THEN 1.0 ELSE 0.0 END AS addr_exact, abs(length(s1_addr) - length(c_addr))::DOUBLE AS addr_len_diff,
-  round({_JAC}, 6) AS num_jaccard, CASE WHEN len(list_intersect(s1_nums, c_nums)) > 0 THEN 1.0 ELSE 0.0 END AS has_common_num,
-  CASE WHEN s1_country = c_country THEN 1.0 ELSE 0.0 END AS country_match, CASE WHEN cand_id LIKE 'S2-%' THEN 1.0 ELSE 0.0 END AS is_s2, CASE WHEN cand_id LIKE 'S3-%' THEN 1.0 ELSE 0.0 END AS is_s3,
-  round(name_sim * addr_sim, 6) AS name_addr_interaction, CASE WHEN name_sim >= 0.85 AND addr_sim < 0.35 THEN 1.0 ELSE 0.0 END AS name_high_addr_low, CASE WHEN name_sim < 0.35 AND addr_sim >= 0.85 THEN 1.0 ELSE 0.0 END AS name_low_addr_high
+  CASE WHEN s1_addr = c_addr AND s1_addr <> '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS addr_exact, abs(length(s1_addr) - length(c_addr))::DOUBLE AS addr_len_diff,
+  round({_JAC}, 6) AS num_jaccard, CASE WHEN len(list_intersect(s1_nums, c_nums)) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS has_common_num,
+  CASE WHEN s1_country = c_country THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS country_match, CASE WHEN cand_id LIKE 'S2-%' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_s2, CASE WHEN cand_id LIKE 'S3-%' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS is_s3,
+  round(name_sim * addr_sim, 6) AS name_addr_interaction, CASE WHEN name_sim >= 0.85 AND addr_sim < 0.35 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS name_high_addr_low, CASE WHEN name_sim < 0.35 AND addr_sim >= 0.85 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS name_low_addr_high
 FROM sorted"""
 
 
