@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .base import stage
 
@@ -15,7 +18,7 @@ STEPS, GAP = 40, 1e-9
 #: Rounds in which one row of each source takes up what rounding has left over.
 FIXES = 4
 #: Sources whose tables of a row each may be broadcast or pass through the driver; more are staged and joined.
-FEW = 100_000
+FEW = 10_000
 
 
 def n_words(text):
@@ -46,8 +49,12 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> Da
 
 
 def held(df: DataFrame, few: bool) -> DataFrame:
-    """A table of a row or a few for each source, cut from its lineage: by way of the driver up to FEW sources, else staged."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema) if few else stage(df, "mix")
+    """A table of a row or a few for each source, cut from its lineage: up to FEW sources by way of the driver, as a literal of
+    the next plan (a local collection would start Python on the executors); beyond that staged."""
+    if not few:
+        return stage(df, "mix")
+    rows = json.dumps([r.asDict() for r in df.collect()])
+    return df.sparkSession.range(1).select(F.inline(F.from_json(F.lit(rows), T.ArrayType(df.schema))))
 
 
 def tilts(hist: DataFrame, targets: DataFrame, few: bool) -> DataFrame:
