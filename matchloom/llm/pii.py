@@ -28,13 +28,13 @@ BEFORE = re.compile(r"(\S{1,24})\s+(\S{1,24})\s+[\"'(#]?$")
 
 @dataclass(frozen=True)
 class Bootstrap:
-    """rounds of scoring; least confidence of a pattern; least distinct seeds behind it; most patterns that are shipped
-    to the tasks (the best ones; each has at most 49 characters)."""
+    """rounds of scoring; least confidence of a pattern; least distinct seeds behind it; bytes of patterns up to which all
+    of them are shipped to the tasks (beyond that places after identifiers' contexts are joined with their table)."""
 
     rounds: int = 2
     confidence: float = 0.8
     seeds: int = 5
-    patterns: int = 4096
+    shipped: int = 1 << 22
 
 
 def luhn(digits: str) -> bool:
@@ -137,13 +137,19 @@ def score_patterns(edges: DataFrame, rule: Bootstrap = Bootstrap()) -> DataFrame
     return confidence.where((F.col("confidence") >= rule.confidence) & (F.col("seeds") >= rule.seeds))
 
 
-def learn(docs: DataFrame, rule: Bootstrap = Bootstrap(), id_col: str = "doc_id", text_col: str = "text"):
-    """A function from a text to its spans, with the patterns that all texts of ``docs`` teach."""
-    best = score_patterns(pattern_edges(docs, id_col, text_col), rule).orderBy(F.desc("confidence"), F.desc("seeds"), "pattern").limit(rule.patterns)
-    patterns = frozenset(r["pattern"] for r in best.collect())
+def learn(docs: DataFrame, rule: Bootstrap = Bootstrap(), id_col: str = "doc_id", text_col: str = "text") -> tuple[frozenset | None, DataFrame]:
+    """The patterns that all texts of ``docs`` teach, as a set and as a staged table; no set where they exceed the rule's bytes."""
+    table = stage(score_patterns(pattern_edges(docs, id_col, text_col), rule).select("pattern"), "pii-learned")
+    size = table.agg(F.sum(F.octet_length("pattern") + 16)).first()[0] or 0
+    return (frozenset(table.toArrow()["pattern"].to_pylist()) if size <= rule.shipped else None), table
+
+
+def finder(docs: DataFrame, patterns: frozenset):
+    """A function from a text to its spans, given all patterns; they are shipped to the tasks once."""
+    shipped = docs.sparkSession.sparkContext.broadcast(patterns)
 
     def find(text: str) -> list[tuple[str, int, int]]:
-        known = base_spans(text)
+        known, patterns = base_spans(text), shipped.value
         if not patterns:
             return known
         return known + [("context", s, e) for s, e in unknown_tokens(text, known) if context(text, s) in patterns]
@@ -151,14 +157,52 @@ def learn(docs: DataFrame, rule: Bootstrap = Bootstrap(), id_col: str = "doc_id"
     return find
 
 
+def names_of(text: str) -> list:
+    """Two names of a text, of equal texts alike."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    return [F.xxhash64(whole).alias("_n1"), F.xxhash64(F.lit(1), whole).alias("_n2")]
+
+
+def context_spans(docs: DataFrame, text_col: str, patterns: DataFrame) -> DataFrame:
+    """(_n1, _n2, found) of the texts with spans after patterns of a table of any size, by their names and in order.
+
+    Identifier-like tokens meet the table by their contexts in a shuffle; no text takes part in it.
+    """
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for n1, n2, t in zip(*(batch.column(i) for i in range(3)), strict=True):
+                text = t.as_py() or ""
+                rows += [(n1.as_py(), n2.as_py(), s, e, p) for s, e in unknown_tokens(text, base_spans(text)) if (p := context(text, s))]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["_n1", "_n2", "start", "end", "pattern"])
+
+    source = docs.select(*names_of(text_col), F.col(text_col).alias("text"))
+    places = stage(source.mapInArrow(run, "_n1 long, _n2 long, start int, end int, pattern string"), "pii-places")
+    met = places.join(patterns, "pattern", "left_semi").select("_n1", "_n2", "start", "end").distinct()
+    span = F.struct(F.lit("context").alias("kind"), "start", "end")
+    return stage(met.groupBy("_n1", "_n2").agg(F.sort_array(F.collect_list(span)).alias("found")), "pii-found")
+
+
 def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Bootstrap = Bootstrap()) -> DataFrame:
     """(id, spans) of each document: known forms, then ``context`` spans after high-confidence patterns.
 
     Spans are by kind (email, ip, card, phone, context), then start. Two passes over the texts: one gathers contexts of
     all seeds and identifier-like tokens, counted before they are shuffled; one finds spans. Patterns are learned from
     all texts. A null or empty text has no spans; repeated rows are repeated; other columns are not read.
+
+    Every pattern that qualifies takes part: all are shipped up to ``rule.shipped`` bytes, beyond it they are joined.
     """
-    return map_spans(docs, learn(docs, rule, id_col, text_col), id_col, text_col)
+    patterns, table = learn(docs, rule, id_col, text_col)
+    if patterns is not None:
+        return map_spans(docs, finder(docs, patterns), id_col, text_col)
+    # the names of a text travel as a part of its id
+    named = docs.select(F.struct(F.col(id_col).alias("id"), *names_of(text_col)).alias("row"), F.col(text_col).alias("text"))
+    known = map_spans(named, base_spans, "row", "text").select(F.col("row.id").alias(id_col), "row._n1", "row._n2", "spans")
+    both = known.join(context_spans(docs, text_col, table), ["_n1", "_n2"], "left")
+    return both.select(id_col, F.when(F.col("found").isNull(), F.col("spans")).otherwise(F.concat("spans", "found")).alias("spans"))
 
 
 #: What redaction puts in place of a span.
@@ -177,14 +221,18 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 def redact_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Bootstrap = Bootstrap()) -> DataFrame:
     """All columns of ``docs``, the text with its spans masked. A null text stays null."""
-    find = learn(docs, rule, id_col, text_col)
+    patterns, table = learn(docs, rule, id_col, text_col)
     source, names, schema = carried(docs, id_col, text_col, docs.columns)
+    find = base_spans if patterns is None else finder(docs, patterns)
+    joined = source if patterns is not None else source.select("*", *names_of("text")).join(context_spans(docs, text_col, table), ["_n1", "_n2"], "left").drop("_n1", "_n2")
 
     def run(batches):
         for batch in batches:
-            texts = [t.as_py() for t in batch.column("text")]
-            masked = pa.array([t if t is None else redact(t, find(t)) for t in texts], pa.string())
+            found = batch.column("found").to_pylist() if "found" in batch.schema.names else [None] * len(batch)
+            masked = pa.array(
+                [t if t is None else redact(t, find(t) + [(x["kind"], x["start"], x["end"]) for x in more or ()]) for t, more in zip(batch.column("text").to_pylist(), found, strict=True)], pa.string()
+            )
             yield pa.RecordBatch.from_arrays([batch.column("id"), *(masked if c == "text" else batch.column(c) for c in names)], ["id", *names])
 
-    out = source.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}{schema}")
+    out = joined.mapInArrow(run, f"id {source.schema['id'].dataType.simpleString()}{schema}")
     return restored(out, id_col, text_col, docs.columns, []).select(*docs.columns)

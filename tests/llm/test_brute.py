@@ -147,6 +147,22 @@ def test_pii_context(spark):
     assert masked.where("doc_id = 100").first()["text"] == "please call me at [ID] now"
 
 
+@pytest.mark.parametrize("shipped", [1 << 22, 0])
+def test_pii_all_patterns_take_part(spark, shipped):
+    word = lambda p: "".join(chr(97 + p // 17**i % 17) for i in range(3))
+    texts = [f"left{word(p)} right {'+1 (988) 555-%04d' % (p + k)} end" for p in range(4200) for k in range(5)]
+    rows = [(9999, "\n".join(texts[i : i + 100]), None) for i in range(0, len(texts), 100)]
+    after = [(1 + p, f"é left{word(p)} right ID-77-{p:05d} end", None) for p in range(0, 4200, 7)]
+    after += [after[0], after[0]]
+    df = table(spark, [*rows, *after, (9000, None, None), (9001, "other right ID-77-12345 and +1 (988) 555-0001", None)])
+    rule = pii.Bootstrap(shipped=shipped)
+    got = [(r["doc_id"], [tuple(s) for s in r["spans"]]) for r in pii.pii_spans(df, rule=rule).where("doc_id < 9999").collect()]
+    find = lambda t: ("context", t.index("ID-"), t.index(" end"))
+    assert sorted(got) == sorted([(i, [find(t)]) for i, t, _ in after] + [(9000, []), (9001, [("phone", 28, 45)])])
+    masked = sorted((r["doc_id"], r["text"]) for r in pii.redact_pii(df, rule=rule).where("doc_id < 9000").collect())
+    assert masked == sorted((i, t.replace(t[find(t)[1] : find(t)[2]], "[ID]")) for i, t, _ in after)
+
+
 # --- urls ---------------------------------------------------------------------------------------------------------------
 
 URLS = ["http://www.example.com/en/1", "https://Example.COM/en/", "https://example.com", "https://com/x?y", "http://a.net/es/1#x", "a.net/es/", "://.com/", None, "", "http://x.org/p", "http://badexample.com/en/", "http://a.net/es", "x://y://z.com/"]
