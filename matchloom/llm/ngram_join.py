@@ -19,7 +19,8 @@ class JoinRule:
     """Words of a shingle; the similarity as a fraction; entries of the table of frequent shingles that is shipped to the
     tasks to order shingles (16 bytes each; all others count as equally rare, which changes speed only); documents from
     which a shingle is hot, so that its rows are dealt to many tasks; shingles a task gathers before it counts them;
-    partners of a set that are verified together."""
+    partners of a set that are verified together; sets of a component, and their shingles, that are compared as a block
+    when links are counted."""
 
     words: int = 5
     num: int = 80
@@ -29,6 +30,8 @@ class JoinRule:
     shares: int = 997
     flush: int = 2_000_000
     group: int = 64
+    block_sets: int = 512
+    block_shingles: int = 1 << 16
 
 
 def set_names(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
@@ -175,6 +178,22 @@ def meeting(rows: DataFrame, rule: JoinRule) -> DataFrame:
     return x.join(y, here).select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
 
 
+def rebuilt(docs: DataFrame, keys: DataFrame, rule: JoinRule) -> DataFrame:
+    """(sid, shingles) of the documents with one of the keys, from their texts."""
+
+    def build(batches):
+        for batch in batches:
+            for piece in pieces(batch):
+                w = Words(piece.column("text"), SPACE, lower=True)
+                row, h = shingle_sets(w, rule.words)
+                sid = set_names(row, h, len(w.count))
+                n = np.bincount(row, minlength=len(w.count))
+                last = np.cumsum(n)
+                yield pa.RecordBatch.from_arrays([signed(sid), pa.array([h[e - m : e].tobytes() for e, m in zip(last, n, strict=True)], pa.binary())], ["sid", "shingles"])
+
+    return semi_join(docs, keys, ["key"]).select("text").mapInArrow(build, "sid long, shingles binary")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: JoinRule) -> DataFrame:
     """(a, b) of the pairs of sets that reach the similarity.
 
@@ -187,18 +206,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: JoinRule)
     members = dealt.select(F.col("b").alias("sid"), "a", "share")
     wanted = stage(members.union(dealt.select(F.col("a").alias("sid"), "a", "share").distinct()), "ngram-wanted")
     keys = stage(sets.join(wanted.select("sid").distinct(), "sid").select("key"), "ngram-keys")
-
-    def build(batches):
-        for batch in batches:
-            for piece in pieces(batch):
-                w = Words(piece.column("text"), SPACE, lower=True)
-                row, h = shingle_sets(w, rule.words)
-                sid = set_names(row, h, len(w.count))
-                n = np.bincount(row, minlength=len(w.count))
-                last = np.cumsum(n)
-                yield pa.RecordBatch.from_arrays([signed(sid), pa.array([h[e - m : e].tobytes() for e, m in zip(last, n, strict=True)], pa.binary())], ["sid", "shingles"])
-
-    built = semi_join(docs, keys, ["key"]).select("text").mapInArrow(build, "sid long, shingles binary")
+    built = rebuilt(docs, keys, rule)
     placed = built.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "sid").withColumn("member", F.col("sid") != F.col("a"))
     grouped = placed.repartition("a", "share").sortWithinPartitions("a", "share", "member")
 
@@ -235,14 +243,120 @@ def similar(x: np.ndarray, y: np.ndarray, rule: JoinRule) -> bool:
     return rule.den * inter >= rule.num * (both - inter)
 
 
-def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str = "doc_id", text_col: str = "text", with_key: bool = False) -> DataFrame:
+def shared_counts(x: np.ndarray, i: np.ndarray, n: int, y: np.ndarray, j: np.ndarray, m: int) -> np.ndarray:
+    """How many shingles each of n sets shares with each of m: shingles x of sets i, shingles y of sets j.
+
+    A shingle that many sets of both sides hold counts by a product of 0-1 matrices, another one by its pairs.
+    """
+    both = np.intersect1d(x, y)
+
+    def of(h, row):
+        at = np.searchsorted(both, h)
+        at[at == len(both)] = 0
+        keep = both[at] == h if len(both) else np.zeros(len(h), bool)
+        order = np.argsort(at[keep], kind="stable")
+        return at[keep][order], row[keep][order]
+
+    (tx, i), (ty, j) = of(x, i), of(y, j)
+    cx, cy = np.bincount(tx, minlength=len(both)), np.bincount(ty, minlength=len(both))
+    much = cx * cy * 64 > n * m
+    out = np.zeros((n, m), np.float32)
+    dense = np.flatnonzero(much)
+    place = np.cumsum(much) - 1
+    for lo in range(0, len(dense), 2048):
+        part = much & (place >= lo) & (place < lo + 2048)
+        a, b = np.zeros((n, 2048), np.float32), np.zeros((m, 2048), np.float32)
+        a[i[part[tx]], place[tx[part[tx]]] - lo] = 1
+        b[j[part[ty]], place[ty[part[ty]]] - lo] = 1
+        out += a @ b.T
+    count = out.astype(np.int64).ravel()
+    # the other shingles: each row of x meets all of y with its shingle
+    few = np.flatnonzero(~much[tx])
+    starts = np.cumsum(cy) - cy
+    for lo in range(0, len(few), 8192):
+        k = few[lo : lo + 8192]
+        reps = cy[tx[k]]
+        at = np.repeat(starts[tx[k]] - (np.cumsum(reps) - reps), reps) + np.arange(reps.sum())
+        np.add.at(count, np.repeat(i[k], reps) * m + j[at], 1)
+    return count.reshape(n, m)
+
+
+def link_counts(docs: DataFrame, sets: DataFrame, found: DataFrame, links: DataFrame, rule: JoinRule) -> DataFrame:
+    """(sid, n): the rows of other sets that each set links with, for sets (sid, key, n, copies) in components of several sets.
+
+    Links lie within components. In one of two sets the link is known. Sets of a larger one are dealt to blocks by size class
+    and name; two sets in classes that are not neighbours are too unlike in size. Every pair of blocks is compared once, in
+    a task that gives counts only.
+    """
+    mine = stage(sets.join(found.withColumnRenamed("id", "sid"), "sid"), "ngram-members")
+    large = stage(mine.groupBy("component").agg(F.count(F.lit(1)).alias("m")).where("m > 2").select("component"), "ngram-large")
+    copies = mine.select("sid", "copies")
+    ends = links.select("a", "b").distinct()
+    ends = ends.union(ends.select("b", "a")).join(mine.join(large, "component", "left_anti").select(F.col("sid").alias("a")), "a")
+    twos = ends.join(copies.withColumnRenamed("sid", "b"), "b").select(F.col("a").alias("sid"), F.col("copies").alias("n"))
+    width = float(np.log(rule.den / rule.num)) * 1.001 if rule.num < rule.den else 1e-9
+    classed = mine.join(large, "component", "left_semi").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / width))
+    need = F.greatest(F.ceil(F.sum("n") / rule.block_shingles), F.ceil(F.count(F.lit(1)) / rule.block_sets))
+    shares = stage(classed.groupBy("component", "class").agg(need.alias("blocks")), "ngram-blocks")
+    dealt = classed.join(shares, ["component", "class"]).withColumn("share", F.pmod(F.xxhash64("sid"), F.col("blocks")))
+    dealt = stage(dealt.select("component", "class", "share", "sid", "key", "copies"), "ngram-dealt")
+    where = ["component", "class", "share"]
+    placed = rebuilt(docs, dealt, rule).dropDuplicates(["sid"]).join(dealt.drop("key"), "sid")
+
+    def gather(batches):
+        held, at = [], None
+
+        def done():
+            sid, copies, n = (np.array([r[k] for r in held], np.int64) for k in (0, 1, 2))
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array([v], pa.int64()) for v in at), *(pa.array([v.tobytes()], pa.binary()) for v in (sid, copies, n)), pa.array([b"".join(r[3] for r in held)], pa.binary())],
+                [*where, "sids", "copies", "sizes", "shingles"],
+            )
+
+        for batch in batches:
+            for *here, sid, copies, x in zip(*(batch.column(c).to_pylist() for c in [*where, "sid", "copies", "shingles"]), strict=True):
+                if held and at != here:
+                    yield done()
+                    held = []
+                at = here
+                held.append((sid, copies, len(x) // 8, x))
+        if held:
+            yield done()
+
+    rows = placed.repartition(*where).sortWithinPartitions(*where).select(*where, "sid", "copies", "shingles")
+    blocks = stage(rows.mapInArrow(gather, "component long, class long, share long, sids binary, copies binary, sizes binary, shingles binary"), "ngram-gathered")
+    one, two = (shares.select("component", F.col("class").alias(f"class_{s}"), F.col("blocks").alias(f"blocks_{s}")) for s in "ab")
+    met = one.join(two, "component").where("class_b - class_a BETWEEN 0 AND 1")
+    met = met.withColumn("share_a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks_a") - 1))).withColumn("share_b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks_b") - 1)))
+    met = stage(met.where("class_a < class_b OR share_a <= share_b").select("component", "class_a", "share_a", "class_b", "share_b"), "ngram-met")
+    side = lambda s: blocks.select("component", *(F.col(c).alias(f"{c}_{s}") for c in ("class", "share", "sids", "copies", "sizes", "shingles")))
+    joined = met.join(side("a"), ["component", "class_a", "share_a"]).join(side("b"), ["component", "class_b", "share_b"])
+
+    def compare(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                (sa, ca, na, xa), (sb, cb, nb, xb) = ([np.frombuffer(r[f"{c}_{s}"], U64 if c == "shingles" else np.int64) for c in ("sids", "copies", "sizes", "shingles")] for s in "ab")
+                same = r["class_a"] == r["class_b"] and r["share_a"] == r["share_b"]
+                both = shared_counts(xa, np.repeat(np.arange(len(sa)), na), len(sa), xb, np.repeat(np.arange(len(sb)), nb), len(sb))
+                linked = rule.den * both >= rule.num * (na[:, None] + nb[None, :] - both)
+                if same:
+                    np.fill_diagonal(linked, False)
+                sid, n = (sa, linked @ cb) if same else (np.concatenate([sa, sb]), np.concatenate([linked @ cb, linked.T @ ca]))
+                yield pa.RecordBatch.from_arrays([pa.array(sid[n > 0]), pa.array(n[n > 0])], ["sid", "n"])
+
+    counted = joined.select(*(f"{c}_{s}" for s in "ab" for c in ("class", "share", "sids", "copies", "sizes", "shingles"))).mapInArrow(compare, "sid long, n long")
+    return stage(counted.union(twos).groupBy("sid").agg(F.sum("n").alias("links")), "ngram-counts")
+
+
+def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str = "doc_id", text_col: str = "text", with_key: bool = False, with_links: bool = False) -> DataFrame:
     """(id, n_shingles, component) of each row: the size of its set, and the smallest id reachable by links, itself included.
 
     A set is the distinct shingles of ``rule.words`` words (A-Z lower-cased, ASCII whitespace apart); a text with fewer
     words has its whole sequence as one. Two rows link when their sets' Jaccard similarity reaches num / den. Rows without
     words have 0 shingles and link with nothing. Equal sets are one set with many rows; repeated rows fall together. A null
     id counts as no smallest id (a component of null ids alone has a null component). Other columns are not read.
-    ``with_key`` adds the row's key, xxhash64(id, text).
+    ``with_key`` adds the row's key, xxhash64(id, text). ``with_links`` adds n_links, the number of other rows that the row
+    links with, copies among them.
 
     Candidates come in rounds. First every set in a token's list meets only the list's leader, so a group of near copies
     costs as many pairs as it has members; verified links join sets into components. Lists that still hold several
@@ -272,9 +386,16 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
         found = stage(components(links), "ngram-components")
     unstage(lists)
 
+    if with_links:
+        members = stage(rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "ngram-copies")
+        told_links = members.join(link_counts(source, members, found, links, rule), "sid", "left").select("sid", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        rows = stage(rows.join(told_links, "sid", "left"), "ngram-counted")
+
     roots = stage(rows.where("n > 0").groupBy("sid").agg(F.min("id").alias("least")), "ngram-sids")
     rooted = stage(roots.join(found.withColumnRenamed("id", "sid"), "sid", "left").select("sid", "least", F.coalesce("component", "sid").alias("root")), "ngram-rooted")
     least = stage(rooted.groupBy("root").agg(F.min("least").alias("component")), "ngram-least")
     named = stage(rooted.join(least, "root").select("sid", "component"), "ngram-named")
     out = rows.join(named, "sid", "left")
-    return out.select(*(["key"] if with_key else []), F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+    counted = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if with_links else []
+    least = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component")
+    return out.select(*(["key"] if with_key else []), F.col("id").alias(id_col), F.col("n").alias("n_shingles"), *counted, least)

@@ -71,6 +71,15 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m ON w.doc_id = m.a
 """
 
 
+def op3_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the number of documents that each one links with."""
+    found = ngram_join.similar_documents(table(spark, sf_dir, "documents"), ngram_join.JoinRule(words=4, num=85, den=100), with_links=True)
+    return found.withColumnRenamed("component", "component_id")
+
+
+OP3_LINKS_SQL = OP3_SQL.replace("AS n_shingles,", "AS n_shingles, (SELECT count(*) FROM links WHERE links.a = w.doc_id) AS n_links,")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents outside all 13-word windows that an earlier document holds."""
     found = substring.remove_repeats(table(spark, sf_dir, "documents"), width=13)
@@ -207,8 +216,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_mix": op9_mix,
     "op10_embeddings": op10_embeddings,
+    "op3_ngram_links": op3_ngram_links,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL = {"op2_urls": OP2_SQL, "op3_ngram_join": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op6_chat": OP6_SQL, "op7_decontaminate": OP7_SQL, "op10_embeddings": OP10_SQL}
+ORACLE_SQL = {"op2_urls": OP2_SQL, "op3_ngram_join": OP3_SQL, "op3_ngram_links": OP3_LINKS_SQL, "op4_substring_dedup": OP4_SQL, "op6_chat": OP6_SQL, "op7_decontaminate": OP7_SQL, "op10_embeddings": OP10_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

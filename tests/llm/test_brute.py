@@ -215,6 +215,25 @@ def test_ngram_join(spark, k, num):
     assert by_id(ngram_join.similar_documents(table(spark, rows), rule)) == brute_components(rows, k, num, 100)
 
 
+def brute_links(rows, k, num, den):
+    sets = []
+    for _, text, _ in rows:
+        w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in WORD.findall(text or "")]
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set()))
+    linked = lambda i, j: i != j and sets[i] and sets[j] and den * len(sets[i] & sets[j]) >= num * len(sets[i] | sets[j])
+    return [sum(bool(linked(i, j)) for j in range(len(rows))) for i in range(len(rows))]
+
+
+@pytest.mark.parametrize(("k", "num", "sets"), [(4, 85, 512), (5, 80, 3), (1, 60, 7)])
+def test_ngram_join_counts_links(spark, k, num, sets):
+    rows = corpus(k)
+    rule = ngram_join.JoinRule(words=k, num=num, den=100, group=4, hot=10, flush=500, block_sets=sets)
+    want = sorted((*r, n) for r, n in zip(sorted(brute_components(rows, k, num, 100)), [n for _, n in sorted(zip([r[0] for r in rows], brute_links(rows, k, num, 100)))], strict=True))
+    found = ngram_join.similar_documents(table(spark, rows), rule, with_links=True)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component"], r["n_links"]) for r in found.collect())
+    assert got == want and max(n for *_, n in got) > 3
+
+
 def test_ngram_join_of_nothing(spark):
     assert ngram_join.similar_documents(table(spark, EMPTY)).count() == 0
     assert by_id(ngram_join.similar_documents(table(spark, [(1, None, None), (2, "", None)]))) == [(1, 0, 1), (2, 0, 2)]
