@@ -23,12 +23,16 @@ CLASSES = (
     ("hex", frozenset("0123456789ABCDEF"), 3.1),
     ("base64", frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"), 3.7),
 )
-#: Allow-list: candidate strings that match are no secrets (placeholders, identifiers that are public by nature, plain words).
+#: Allow-list: candidate strings that match as a whole are no secrets (identifiers that are public by nature, plain words).
 ALLOW = (
     r"[A-Za-z]+(?:[-_/=+][A-Za-z]+)*[-_/=+]*",
     r"[0-9]+(?:[-_/][0-9]+)*",
     r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r".*(?:[Ee]xample|EXAMPLE|placeholder|PLACEHOLDER|[Xx]{6}|0123456789|abcdefgh|ABCDEFGH).*",
+)
+#: Allow-listed wherever they stand in a candidate string (placeholders, public identifiers); what is left of it is judged by itself.
+CUT = (
+    r"(?<![0-9a-zA-Z])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9a-zA-Z])",
+    r"[Ee]xample|EXAMPLE|placeholder|PLACEHOLDER|[Xx]{6,}|0123456789|abcdefgh|ABCDEFGH",
 )
 
 
@@ -37,6 +41,7 @@ class EntropyRule:
     window: int = 20
     classes: tuple = CLASSES
     allow: tuple[str, ...] = ALLOW
+    cut: tuple[str, ...] = CUT
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -67,12 +72,25 @@ def window_entropies(s: str, w: int) -> list[float]:
     return out
 
 
-def entropy_spans(text: str, rule: EntropyRule, allow: re.Pattern) -> list[tuple[int, int]]:
-    """Unions of the windows, within one character class each, whose entropy reaches that class's threshold."""
-    out = []
+def remainders(text: str, known: list[tuple[int, int]], cut: re.Pattern):
+    """(start, string, whole) of what known spans and cut substrings leave of each candidate string."""
     for m in CANDIDATE.finditer(text):
-        s = m.group()
-        if len(s) < rule.window or allow.fullmatch(s):
+        lo, hi = m.span()
+        gaps = [(a, b) for a, b in known if a < hi and lo < b] + [(lo + c.start(), lo + c.end()) for c in cut.finditer(m.group())]
+        at = lo
+        for a, b in sorted(gaps):
+            if a > at:
+                yield at, text[at:a], False
+            at = max(at, b)
+        if at < hi:
+            yield at, text[at:hi], not gaps
+
+
+def entropy_spans(text: str, rule: EntropyRule, allow: re.Pattern, cut: re.Pattern, known: list[tuple[int, int]] = ()) -> list[tuple[int, int]]:
+    """Unions of the windows, within one character class and outside known spans, whose entropy reaches that class's threshold."""
+    out = []
+    for start, s, whole in remainders(text, known, cut):
+        if len(s) < rule.window or allow.fullmatch(s if whole else s.strip("-_/=+")):
             continue
         taken: list[tuple[int, int]] = []
         for _, members, least in rule.classes:
@@ -89,9 +107,9 @@ def entropy_spans(text: str, rule: EntropyRule, allow: re.Pattern) -> list[tuple
         end = -1
         for a, b in sorted(taken):
             if a > end:
-                out.append([m.start() + a, m.start() + b])
+                out.append([start + a, start + b])
             else:
-                out[-1][1] = max(out[-1][1], m.start() + b)
+                out[-1][1] = max(out[-1][1], start + b)
             end = max(end, b)
     return [tuple(x) for x in out]
 
@@ -99,19 +117,17 @@ def entropy_spans(text: str, rule: EntropyRule, allow: re.Pattern) -> list[tuple
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: EntropyRule = EntropyRule()) -> DataFrame:
     """(id, spans) of each document, in one pass without a shuffle.
 
-    Kinds ``assign``, ``access`` and ``hex`` are the known forms; ``entropy`` adds windows of high entropy that touch none
-    of them and are not on the allow-list. Spans are by start, then kind in that order. A null or empty text has none; a
+    Kinds ``assign``, ``access`` and ``hex`` are the known forms; ``entropy`` adds windows of high entropy in what
+    they and allow-listed substrings leave of each candidate string. Spans are by start, then kind in that order. A null or empty text has none; a
     repeated row is repeated in the result; other columns are not read.
     """
-    pattern = "|".join(f"(?:{p})" for p in rule.allow)
+    patterns = ["|".join(f"(?:{p})" for p in ps) for ps in (rule.allow, rule.cut)]
 
     def find(text: str):
-        allow = re.compile(pattern, re.S)
+        allow, cut = (re.compile(p, re.S) for p in patterns)
         spans = base_spans(text)
         known = sorted((s, e) for _, s, e in spans)
-        for s, e in entropy_spans(text, rule, allow):
-            if not any(a < e and s < b for a, b in known):
-                spans.append(("entropy", s, e))
+        spans += [("entropy", s, e) for s, e in entropy_spans(text, rule, allow, cut, known)]
         return sorted(spans, key=lambda x: (x[1], KIND_ORDER[x[0]]))
 
     return map_spans(docs, find, id_col, text_col)
