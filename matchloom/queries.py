@@ -533,12 +533,12 @@ def m07_training_pairs(spark, d):
 
 @query()
 def m08_gbt_scores(spark, d):
-    """Scores of a small boosted model on all candidates."""
+    """Scores of a boosted model of the default size on all candidates."""
     s1, s23 = sides(spark, d)
     c = candidates(spark, d)
     pairs = T.training_pairs(c, truth(spark, d), s23)
     labelled = pair_features(pair_attributes(pairs, s1, s23)).select(*FEATURES, "label").persist()
-    model = T.fit_model(labelled, trees=10)
+    model = T.fit_model(labelled)
     labelled.unpersist()
     return score_pairs(pair_features(c), model).select("s1_id", "cand_id", r6("prob"))
 

@@ -15,6 +15,21 @@ def test_query_gives_rows(spark, name):
     assert QUERIES[name](spark, DATA).count() > 0
 
 
+def test_gbt_has_the_default_size(spark, monkeypatch):
+    from matchloom import queries
+
+    class Fitted(Exception):
+        pass
+
+    def fit_model(labelled, **given):
+        assert not given
+        raise Fitted
+
+    monkeypatch.setattr(queries.T, "fit_model", fit_model)
+    with pytest.raises(Fitted):
+        queries.m08_gbt_scores(spark, DATA)
+
+
 def test_entry_gives_rows(spark):
     import __spark_entry__
 
