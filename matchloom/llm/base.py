@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,13 @@ BROADCAST_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: the session's ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """Folder that driver and executors share: the session's ``spark.checkpoint.dir``; a temporary one only where it is unset
+    and all runs in one process. On a cluster without the setting this raises, as files in local folders would be lost."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="matchloom-"))
         at = spark.sparkContext.getCheckpointDir()
     return at
@@ -32,6 +37,31 @@ def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
+    for held in _SCOPES:
+        held.append(out)
+    return out
+
+
+_SCOPES: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scope():
+    """A list that gathers the tables staged within; those still in it at the end are deleted. Remove what is to stay."""
+    held: list[DataFrame] = []
+    _SCOPES.append(held)
+    try:
+        yield held
+    finally:
+        _SCOPES[:] = [x for x in _SCOPES if x is not held]
+        unstage(*held)
+
+
+def staged_alone(make, tag: str) -> DataFrame:
+    """The staged result of ``make()``; all that was staged on the way is deleted."""
+    with scope() as held:
+        out = stage(make(), tag)
+        held[:] = [x for x in held if x is not out]
     return out
 
 
