@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterable
 
 import pyarrow as pa
@@ -12,6 +13,28 @@ SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32
 SPANS_DDL = "array<struct<kind:string,start:int,end:int>>"
 
 
+class Intervals:
+    """Half-open intervals, merged, to be asked in logarithmic time."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]):
+        self.start: list[int] = []
+        self.end: list[int] = []
+        for s, e in sorted(spans):
+            if self.end and s <= self.end[-1]:
+                self.end[-1] = max(self.end[-1], e)
+            else:
+                self.start.append(s)
+                self.end.append(e)
+
+    def within(self, start: int, end: int) -> list[tuple[int, int]]:
+        """Those that share a place with [start, end), in order."""
+        lo, hi = bisect_right(self.end, start), bisect_left(self.start, end)
+        return list(zip(self.start[lo:hi], self.end[lo:hi], strict=True))
+
+    def touch(self, start: int, end: int) -> bool:
+        return bisect_right(self.end, start) < bisect_left(self.start, end)
+
+
 def map_spans(docs: DataFrame, find: Callable[[str], Iterable[tuple[str, int, int]]], id_col: str, text_col: str) -> DataFrame:
     """(id, spans): the spans that ``find`` gives for each whole text, in code points, end exclusive; a null text is empty."""
 
