@@ -3,37 +3,42 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import carried, restored, stage
-from .spans import map_spans
+from .base import carried, restored, stage, unstage
+from .spans import Intervals, map_spans
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+# a match starts with its first digits whole and takes all of its last ones: no place within a run of digits is tried
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 BASE_KINDS = ["email", "ip", "card", "phone"]
 KIND_ORDER = {k: i for i, k in enumerate([*BASE_KINDS, "context"])}
 DIGIT = re.compile(r"[0-9]")
 #: An identifier-like token: at least three digits in five or more characters.
 TOKEN = re.compile(r"(?<!\S)[#(\"']?([A-Za-z0-9](?:[A-Za-z0-9_/-]{3,})[A-Za-z0-9])(?=[)\"'.,;:!?]?(?:\s|$))", re.A)
-BEFORE = re.compile(r"(\S{1,24})\s+(\S{1,24})\s+[\"'(#]?$")
+WORD = re.compile(r"\S+")
+OPENING, CLOSING = frozenset("#([\"'"), frozenset(")]\"'.,;:!?")
 
 
 @dataclass(frozen=True)
 class Bootstrap:
-    """rounds of scoring; least confidence of a pattern; least distinct seeds behind it; bytes of patterns up to which all
-    of them are shipped to the tasks (beyond that places after identifiers' contexts are joined with their table)."""
+    """least confidence of a pattern; least distinct instances that support it; what an unknown instance weighs against a
+    pattern, as it may be an identifier itself; bytes of patterns up to which all of them are shipped to the tasks (beyond
+    that identifiers are joined with their table by their contexts)."""
 
-    rounds: int = 2
     confidence: float = 0.8
-    seeds: int = 5
+    support: int = 4
+    doubt: float = 0.1
     shipped: int = 1 << 22
 
 
@@ -75,22 +80,45 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def context(text: str, start: int) -> str | None:
-    """The two words before a place, lower-cased; None where there are fewer or one is very long."""
-    m = BEFORE.search(text[max(0, start - 64) : start])
-    return f"{m[1]} {m[2]}".lower() if m else None
+def name(*parts: str) -> bytes:
+    """A 128-bit name, so that neither patterns nor instances need a bound on their length."""
+    return blake2b("\x00".join(parts).encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+class Contexts:
+    """The patterns around places of a text: the two words before and the two words after, lower-cased."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.words = [m.span() for m in WORD.finditer(text)]
+        self.starts = [s for s, _ in self.words]
+
+    def around(self, start: int, end: int) -> list[bytes]:
+        """Names of the patterns: one or none for each side. A span must begin its word but for an opening sign, and end it
+        but for closing ones; each word is read for few spans, so a whole text takes linear time."""
+        word = lambda i: self.text[slice(*self.words[i])].lower()
+        out = []
+        i = bisect_right(self.starts, start) - 1
+        lead = start - self.words[i][0]
+        if i >= 2 and (lead == 0 or lead == 1 and self.text[start - 1] in OPENING):
+            out.append(name("before", word(i - 2), word(i - 1)))
+        j = bisect_right(self.starts, end - 1) - 1
+        tail = self.words[j][1] - end
+        if j + 2 < len(self.words) and tail <= 3 and all(c in CLOSING for c in self.text[end : self.words[j][1]]):
+            out.append(name("after", word(j + 1), word(j + 2)))
+        return out
 
 
 def unknown_tokens(text: str, known: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
     """Identifier-like tokens that touch no known span."""
     if not DIGIT.search(text):
         return []
-    taken = sorted((s, e) for _, s, e in known)
-    return [m.span(1) for m in TOKEN.finditer(text) if len(DIGIT.findall(m[1])) >= 3 and not any(a < m.end(1) and m.start(1) < b for a, b in taken)]
+    taken = Intervals((s, e) for _, s, e in known)
+    return [m.span(1) for m in TOKEN.finditer(text) if len(DIGIT.findall(m[1])) >= 3 and not taken.touch(*m.span(1))]
 
 
 def pattern_edges(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(pattern, instance, seed, n): how often an instance stands after a pattern, over all texts; counted in the tasks first."""
+    """(pattern, instance, seed, n): how often an instance stands in a pattern, over all texts; counted in the tasks first."""
 
     def run(batches):
         for batch in batches:
@@ -98,50 +126,60 @@ def pattern_edges(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for t in batch.column(0):
                 text = t.as_py() or ""
                 known = base_spans(text)
-                for kind, s, e in known:
-                    if p := context(text, s):
-                        seen[p, f"{kind}:{text[s:e]}"[:80], True] += 1
-                for s, e in unknown_tokens(text, known):
-                    if p := context(text, s):
-                        seen[p, text[s:e][:80], False] += 1
+                unknown = unknown_tokens(text, known)
+                if known or unknown:
+                    at = Contexts(text)
+                    for kind, s, e in known:
+                        for p in at.around(s, e):
+                            seen[p, name(kind, text[s:e]), True] += 1
+                    for s, e in unknown:
+                        for p in at.around(s, e):
+                            seen[p, name("token", text[s:e]), False] += 1
             keys = list(seen)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.bool_()), pa.array([seen[k] for k in keys], pa.int64())],
+                [pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.binary()), pa.array([k[2] for k in keys], pa.bool_()), pa.array([seen[k] for k in keys], pa.int64())],
                 ["pattern", "instance", "seed", "n"],
             )
 
-    edges = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "pattern string, instance string, seed boolean, n long")
+    edges = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "pattern binary, instance binary, seed boolean, n long")
     return edges.groupBy("pattern", "instance", "seed").agg(F.sum("n").alias("n"))
 
 
 def score_patterns(edges: DataFrame, rule: Bootstrap = Bootstrap()) -> DataFrame:
-    """(pattern, confidence, seeds) of the patterns that reach the rule's confidence and number of distinct seeds.
+    """(pattern, confidence, support) of the patterns that qualify, staged.
 
-    A seed's score is 1. In each round a pattern's confidence is the sum of its instances' scores over their number plus
-    one, and an unknown instance's score is the noisy-or of the confidences of the patterns that it follows.
+    A seed's score is 1, that of an unknown instance the noisy-or of the confidences of the qualified patterns it stands in
+    (0 at first). A pattern's confidence is the sum of w * score over one plus that of w * (score + doubt * (1 - score));
+    w = log2(1 + n), so repetition counts, but copies of one text do not rule. A pattern qualifies by the rule's confidence and by its number of
+    instances whose score reaches that confidence: found instances are seeds of the next round. Rounds go on until
+    none adds a pattern; scores only grow, so patterns stay qualified. Sums are rounded before they are compared.
     """
-    edges = stage(edges, "pii-edges")
-    scores = None
-    for k in range(rule.rounds):
+    edges = stage(edges.withColumn("w", F.log2(F.col("n") + 1.0)), "pii-edges")
+    good, scores, size = None, None, 0
+    while True:
         if scores is None:
             scored = edges.withColumn("score", F.col("seed").cast("double"))
         else:
             scored = edges.join(scores, "instance", "left").withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("s", F.lit(0.0))))
-        confidence = stage(
-            scored.groupBy("pattern").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("confidence"), F.sum(F.col("seed").cast("long")).alias("seeds")).where("seeds > 0"),
-            "pii-patterns",
-        )
-        if k + 1 < rule.rounds:
-            reach = edges.where("NOT seed").join(confidence, "pattern")
-            scores = stage(reach.groupBy("instance").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))).alias("s")), "pii-scores")
-    return confidence.where((F.col("confidence") >= rule.confidence) & (F.col("seeds") >= rule.seeds))
+        against = F.col("score") + rule.doubt * (1 - F.col("score"))
+        confidence = F.round(F.sum(F.col("w") * F.col("score")) / (F.sum(F.col("w") * against) + 1), 9)
+        per = scored.groupBy("pattern").agg(confidence.alias("confidence"), F.count_if(F.col("score") >= rule.confidence).alias("support"))
+        now = stage(per.where((F.col("confidence") >= rule.confidence) & (F.col("support") >= rule.support)), "pii-patterns")
+        if good is not None:
+            unstage(good, scores)
+        good, n = now, now.count()
+        if n == size:
+            unstage(edges)
+            return good
+        size = n
+        reach = edges.where("NOT seed").join(good, "pattern")
+        scores = stage(reach.groupBy("instance").agg(F.round(1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6))))), 9).alias("s")), "pii-scores")
 
 
 def learn(docs: DataFrame, rule: Bootstrap = Bootstrap(), id_col: str = "doc_id", text_col: str = "text") -> tuple[frozenset | None, DataFrame]:
     """The patterns that all texts of ``docs`` teach, as a set and as a staged table; no set where they exceed the rule's bytes."""
-    table = stage(score_patterns(pattern_edges(docs, id_col, text_col), rule).select("pattern"), "pii-learned")
-    size = table.agg(F.sum(F.octet_length("pattern") + 16)).first()[0] or 0
-    return (frozenset(table.toArrow()["pattern"].to_pylist()) if size <= rule.shipped else None), table
+    table = score_patterns(pattern_edges(docs, id_col, text_col), rule).select("pattern")
+    return (frozenset(table.toArrow()["pattern"].to_pylist()) if table.count() * 32 <= rule.shipped else None), table
 
 
 def finder(docs: DataFrame, patterns: frozenset):
@@ -150,9 +188,11 @@ def finder(docs: DataFrame, patterns: frozenset):
 
     def find(text: str) -> list[tuple[str, int, int]]:
         known, patterns = base_spans(text), shipped.value
-        if not patterns:
+        unknown = unknown_tokens(text, known) if patterns else []
+        if not unknown:
             return known
-        return known + [("context", s, e) for s, e in unknown_tokens(text, known) if context(text, s) in patterns]
+        at = Contexts(text)
+        return known + [("context", s, e) for s, e in unknown if not patterns.isdisjoint(at.around(s, e))]
 
     return find
 
@@ -174,24 +214,28 @@ def context_spans(docs: DataFrame, text_col: str, patterns: DataFrame) -> DataFr
             rows = []
             for n1, n2, t in zip(*(batch.column(i) for i in range(3)), strict=True):
                 text = t.as_py() or ""
-                rows += [(n1.as_py(), n2.as_py(), s, e, p) for s, e in unknown_tokens(text, base_spans(text)) if (p := context(text, s))]
+                if unknown := unknown_tokens(text, base_spans(text)):
+                    at = Contexts(text)
+                    rows += [(n1.as_py(), n2.as_py(), s, e, p) for s, e in unknown for p in at.around(s, e)]
             columns = list(zip(*rows, strict=True)) or [()] * 5
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["_n1", "_n2", "start", "end", "pattern"])
 
     source = docs.select(*names_of(text_col), F.col(text_col).alias("text"))
-    places = stage(source.mapInArrow(run, "_n1 long, _n2 long, start int, end int, pattern string"), "pii-places")
+    places = stage(source.mapInArrow(run, "_n1 long, _n2 long, start int, end int, pattern binary"), "pii-places")
     met = places.join(patterns, "pattern", "left_semi").select("_n1", "_n2", "start", "end").distinct()
     span = F.struct(F.lit("context").alias("kind"), "start", "end")
     return stage(met.groupBy("_n1", "_n2").agg(F.sort_array(F.collect_list(span)).alias("found")), "pii-found")
 
 
 def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Bootstrap = Bootstrap()) -> DataFrame:
-    """(id, spans) of each document: known forms, then ``context`` spans after high-confidence patterns.
+    """(id, spans) of each document: known forms, then ``context`` spans, identifier-like tokens within high-confidence
+    patterns (two words before or after).
 
     Spans are by kind (email, ip, card, phone, context), then start. Two passes over the texts: one gathers contexts of
     all seeds and identifier-like tokens, counted before they are shuffled; one finds spans. Patterns are learned from
-    all texts. A null or empty text has no spans; repeated rows are repeated; other columns are not read.
+    all texts. A null or empty text has no spans; repeated rows are repeated; other columns are not read. Time is linear in
+    a text's length.
 
     Every pattern that qualifies takes part: all are shipped up to ``rule.shipped`` bytes, beyond it they are joined.
     """
@@ -220,7 +264,8 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def redact_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Bootstrap = Bootstrap()) -> DataFrame:
-    """All columns of ``docs``, the text with its spans masked. A null text stays null."""
+    """All columns of ``docs``, the text with its spans masked. A null text stays null, an empty one empty; repeated rows are
+    masked alike; an empty table gives an empty one."""
     patterns, table = learn(docs, rule, id_col, text_col)
     source, names, schema = carried(docs, id_col, text_col, docs.columns)
     find = base_spans if patterns is None else finder(docs, patterns)
