@@ -5,14 +5,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .base import components, stage
+from .base import components, stage, unstage
 
 #: Vectors whose directions fix the principal axes (a bounded sample; any axes give the same result), leading axes that
-#: the grid order uses, axes that bound distances, and vectors in a block.
-SAMPLE, GRID, BOUND, BLOCK = 4096, 4, 12, 2048
+#: the grid order uses, axes that bound distances, and vectors in a block at most (8 MB of 128 doubles each).
+SAMPLE, GRID, BOUND, BLOCK = 4096, 4, 12, 8192
+#: Range partitions at most; each holds as many blocks as it needs.
+PARTS = 20_000
 
 
 def principal_axes(unit: DataFrame, dim: int) -> np.ndarray:
@@ -43,12 +44,20 @@ def near_pairs(x: np.ndarray, y: np.ndarray, xp: np.ndarray, yp: np.ndarray, lea
     """(i, j) with x[i] . y[j] >= least, by recursive halves of both sequences; halves whose boxes on the leading axes lie
     farther apart than eps are skipped."""
     out_i, out_j = [], []
+    boxes: dict = {}
+
+    def box(side, p, a, b):
+        if (side, a, b) not in boxes:
+            boxes[side, a, b] = p[a:b].min(0), p[a:b].max(0)
+        return boxes[side, a, b]
+
     todo = [(0, len(x), 0, len(y))]
     while todo:
         a, b, c, d = todo.pop()
         if a >= b or c >= d:
             continue
-        gap = np.maximum(0, np.maximum(xp[a:b].min(0) - yp[c:d].max(0), yp[c:d].min(0) - xp[a:b].max(0)))
+        (xl, xh), (yl, yh) = box(0, xp, a, b), box(1, yp, c, d)
+        gap = np.maximum(0, np.maximum(xl - yh, yl - xh))
         if gap @ gap > eps * eps:
             continue
         if b - a <= leaf and d - c <= leaf:
@@ -75,7 +84,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
 
     Distinct unit vectors are sorted by grid cells of width eps on the leading principal axes and cut into blocks of BLOCK;
     pairs of blocks whose boxes on BOUND axes are within eps are joined, each pair once, in halves recursively. A task
-    gives link counts and a spanning forest of its links, never all pairs of a group.
+    gives link counts and a spanning forest of its links, never all pairs of a group. How much is skipped depends on the
+    vectors: on clustered ones or few dimensions most pairs are, on ones that spread evenly over many dimensions none
+    (boxes there overlap on every axis; see the README's figures).
     """
     eps = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-9
     source = vectors.select(F.col(id_col).alias("id"), F.transform(F.col(vector_col), lambda x: x.cast("double")).alias("e"))
@@ -86,7 +97,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
         for batch in batches:
             v = batch.column("e")
             flat = np.asarray(v.flatten(), np.float64)
-            n = np.diff(np.asarray(v.offsets if not v.offset else v.value_lengths().to_numpy().cumsum()))
+            n = v.value_lengths().to_numpy()
             ends = np.cumsum(n)
             rows = []
             for a, b in zip(ends - n, ends, strict=True):
@@ -101,25 +112,54 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, id_col: str = "vec_
     good = stage(good.withColumn("dim", (F.length("v") / 8).cast("int")).withColumn("key", F.xxhash64("v")), "vec")
     distinct = stage(good.groupBy("key", "v", "dim").agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies")), "vec-distinct")
     counts = edges = None
+    found = []
     for dim in sorted(r["dim"] for r in distinct.select("dim").distinct().collect()):
-        c, e = join_blocks(distinct.where(F.col("dim") == dim), dim, least, eps)
+        found.append(join_blocks(distinct.where(F.col("dim") == dim), dim, least, eps))
+        c, e = found[-1].where("to IS NULL").select("key", "n"), found[-1].where("to IS NOT NULL").select(F.col("key").alias("a"), F.col("to").alias("b"))
         counts, edges = (c, e) if counts is None else (counts.union(c), edges.union(e))
     all_rows = source.select("id")
     if counts is None:
         return all_rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     counts = stage(counts.groupBy("key").agg(F.sum("n").alias("n")), "vec-counts")
-    labels = components(edges)
+    labels = stage(components(edges), "vec-components")
     labelled = stage(distinct.select("key", "least_id", "copies").join(labels.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("component", "key")).drop("component"), "vec-labels")
     smallest = stage(labelled.groupBy("root").agg(F.min("least_id").alias("component")), "vec-roots")
     result = labelled.join(smallest, "root").join(counts, "key", "left").select("key", "component", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     result = stage(result, "vec-result")
+    unstage(distinct, counts, labels, labelled, smallest, *found)
     linked = good.select("id", "key").join(result, "key").select("id", "n_links", "component")
     rest = source.where(~(F.coalesce(fine, F.lit(False)) & F.coalesce(F.exists("e", lambda x: x != 0), F.lit(False)))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
     return linked.union(rest).select(F.col("id").alias(id_col), F.col("n_links").cast("long").alias("n_links"), F.coalesce("component", "id").alias("component"))
 
 
-def join_blocks(distinct: DataFrame, dim: int, least: float, eps: float) -> tuple[DataFrame, DataFrame]:
-    """(key, n) link counts and (a, b) spanning edges among distinct unit vectors of one length."""
+def block_pairs(boxes: DataFrame, eps: float) -> DataFrame:
+    """(a, b), a <= b, of the blocks whose boxes lie within eps of each other, each pair once.
+
+    Boxes meet in cells of width 2 eps of the first two axes (one side widened by eps), where only the first cell that both
+    reach counts; then the gap on all axes is measured. A cell that many boxes reach is a hot key of a join of plain scans,
+    which adaptive execution splits.
+    """
+    cell = lambda c, i, d: F.floor((F.get(c, i) + d) / (2 * eps))
+
+    def cells(c, d, names):
+        lo, hi, out = f"{c}l", f"{c}h", f"{c}_"
+        from_ = [F.coalesce(cell(lo, i, -d), F.lit(0)) for i in (0, 1)]
+        to = [F.coalesce(cell(hi, i, d), F.lit(0)) for i in (0, 1)]
+        every = F.flatten(F.transform(F.sequence(from_[0], to[0]), lambda i: F.transform(F.sequence(from_[1], to[1]), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+        df = boxes.select(F.col("block").alias(c), F.col("lo").alias(lo), F.col("hi").alias(hi))
+        return df.select("*", from_[0].alias(f"{out}i"), from_[1].alias(f"{out}j"), F.explode(every).alias(names)).select("*", f"{names}.*").drop(names)
+
+    gap = F.aggregate(
+        F.zip_with(F.zip_with("al", "bh", lambda x, y: x - y), F.zip_with("bl", "ah", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0))),
+        F.lit(0.0), lambda s, x: s + x * x,
+    )
+    met = cells("a", eps, "cell_a").join(cells("b", 0.0, "cell_b"), ["i", "j"])
+    first = (F.col("i") == F.greatest("a_i", "b_i")) & (F.col("j") == F.greatest("a_j", "b_j"))
+    return met.where(first & (F.col("a") <= F.col("b")) & (gap <= eps * eps)).select("a", "b")
+
+
+def join_blocks(distinct: DataFrame, dim: int, least: float, eps: float) -> DataFrame:
+    """(key, n, to) among distinct unit vectors of one length: link counts (to null) and spanning edges (key, to)."""
     spark = distinct.sparkSession
     shipped = spark.sparkContext.broadcast(principal_axes(distinct, dim))
     grid, bound = min(GRID, dim), min(BOUND, dim)
@@ -133,76 +173,74 @@ def join_blocks(distinct: DataFrame, dim: int, least: float, eps: float) -> tupl
 
     schema = "key long, v binary, copies long, " + ", ".join(f"g{i} int" for i in range(grid))
     order = [f"g{i}" for i in range(grid)] + ["key"]
-    n = distinct.count()
-    parts = max(1, -(-n // BLOCK))
+    parts = min(PARTS, max(1, -(-distinct.count() // BLOCK)))
     placed = distinct.select("key", "v", "copies").mapInArrow(place, schema).repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
     def block(batches):
-        """Blocks of BLOCK vectors in grid order, each with its box on the leading axes."""
-        axes = shipped.value[:, :bound]
-        keys, vs, copies, k = [], [], [], 0
+        """Blocks of BLOCK vectors at most in grid order, each with its box on the leading axes."""
         from pyspark import TaskContext
 
+        axes = shipped.value[:, :bound]
         part = TaskContext.get().partitionId()
+        held: list[pa.RecordBatch] = []
+        size = k = 0
 
-        def full(m):
-            nonlocal keys, vs, copies, k
-            x = np.frombuffer(b"".join(vs[:m]), np.float64).reshape(-1, dim)
+        def full():
+            t = pa.Table.from_batches(held)
+            x = np.frombuffer(b"".join(v.as_py() for v in t["v"]), np.float64).reshape(-1, dim)
             p = x @ axes
-            row = [part * 100_000 + k, np.array(keys[:m], np.int64).tobytes(), np.array(copies[:m], np.int64).tobytes(), x.tobytes(), p.min(0).tolist(), p.max(0).tolist()]
-            keys, vs, copies, k = keys[m:], vs[m:], copies[m:], k + 1
-            return pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int64()), *(pa.array([x], pa.binary()) for x in row[1:4]), *(pa.array([x], pa.list_(pa.float64())) for x in row[4:])], ["block", "keys", "copies", "x", "lo", "hi"])
+            own = [np.asarray(t[c], np.int64).tobytes() for c in ("key", "copies")] + [x.tobytes()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([(part << 32) + k], pa.int64()), *(pa.array([v], pa.binary()) for v in own), *(pa.array([v.tolist()], pa.list_(pa.float64())) for v in (p.min(0), p.max(0)))],
+                ["block", "keys", "copies", "x", "lo", "hi"],
+            )
 
         for batch in batches:
-            keys += batch.column("key").to_pylist()
-            vs += batch.column("v").to_pylist()
-            copies += batch.column("copies").to_pylist()
-            while len(keys) >= 2 * BLOCK:
-                yield full(BLOCK)
-        if keys:
-            yield full(len(keys))
+            while len(batch):
+                take = min(len(batch), BLOCK - size)
+                held.append(batch.slice(0, take))
+                batch, size = batch.slice(take), size + take
+                if size == BLOCK:
+                    yield full()
+                    held, size, k = [], 0, k + 1
+        if size:
+            yield full()
 
     schema = "block long, keys binary, copies binary, x binary, lo array<double>, hi array<double>"
-    parts_ = stage(placed.mapInArrow(block, schema), "vec-parts")
-    # partitions come out uneven: neighbouring short blocks become one
-    sizes = parts_.select("block", (F.length("keys") / 8).alias("n"))
-    whole = sizes.select(F.col("block").alias("part"), F.floor((F.sum("n").over(W.orderBy("block")) - F.col("n")) / BLOCK).alias("whole"))
+    short = stage(placed.select("key", "v", "copies").mapInArrow(block, schema), "vec-parts")
+    # partitions come out uneven: neighbouring short blocks become one, by the running size of the partitions (PARTS rows at most)
+    sizes = sorted((r["part"], r["n"]) for r in short.groupBy(F.shiftright("block", 32).alias("part")).agg(F.sum(F.length("keys") / 8).cast("long").alias("n")).collect())
+    before, running = [], 0
+    for part, n in sizes:
+        before.append((part, running))
+        running += n
+    starts = spark.createDataFrame(before, "part long, before long")
+    whole = F.floor((F.col("before") + F.col("block").bitwiseAND((1 << 32) - 1) * BLOCK) / BLOCK)
+    dealt = short.join(F.broadcast(starts), F.shiftright("block", 32) == F.col("part")).withColumn("whole", whole)
 
     def merge(batches):
-        held: dict = {}
+        held: list[dict] = []
 
         def done():
+            own = [b"".join(r[c] for r in held) for c in ("keys", "copies", "x")]
+            box = [np.array([r["lo"] for r in held]).min(0).tolist(), np.array([r["hi"] for r in held]).max(0).tolist()]
             return pa.RecordBatch.from_arrays(
-                [pa.array([held["whole"]], pa.int64()), *(pa.array([b"".join(held[c])], pa.binary()) for c in ("keys", "copies", "x")),
-                 *(pa.array([np.array(held[c]).min(0).tolist() if c == "lo" else np.array(held[c]).max(0).tolist()], pa.list_(pa.float64())) for c in ("lo", "hi"))],
+                [pa.array([held[0]["whole"]], pa.int64()), *(pa.array([v], pa.binary()) for v in own), *(pa.array([v], pa.list_(pa.float64())) for v in box)],
                 ["block", "keys", "copies", "x", "lo", "hi"],
-            )
+            )
 
         for batch in batches:
-            for r in batch.to_pylist():
-                if held and held["whole"] != r["whole"]:
+            for r in (x for i in range(len(batch)) for x in batch.slice(i, 1).to_pylist()):
+                if held and held[0]["whole"] != r["whole"]:
                     yield done()
-                    held = {}
-                if not held:
-                    held = {"whole": r["whole"], "keys": [], "copies": [], "x": [], "lo": [], "hi": []}
-                for c in ("keys", "copies", "x", "lo", "hi"):
-                    held[c].append(r[c])
+                    held = []
+                held.append(r)
         if held:
             yield done()
 
-    placed = parts_.join(F.broadcast(whole) if parts <= 1_000_000 else whole, F.col("block") == F.col("part")).drop("part")
-    blocks = stage(placed.repartition("whole").sortWithinPartitions("whole", "block").select("whole", "keys", "copies", "x", "lo", "hi").mapInArrow(merge, schema), "vec-blocks")
-    boxes = blocks.select("block", "lo", "hi")
-    a, b = boxes.select(F.col("block").alias("a"), F.col("lo").alias("al"), F.col("hi").alias("ah")), boxes.select(F.col("block").alias("b"), F.col("lo").alias("bl"), F.col("hi").alias("bh"))
-    # the first axis as strips of width eps: only blocks that share a strip, one of them widened by eps, can be near
-    strip = lambda c, d: F.floor((F.element_at(c, 1) + d) / eps)
-    sa = a.withColumn("strip", F.explode(F.sequence(strip("al", -eps), strip("ah", eps))))
-    sb = b.withColumn("strip", F.explode(F.sequence(strip("bl", 0.0), strip("bh", 0.0))))
-    gap = F.aggregate(
-        F.zip_with(F.zip_with("al", "bh", lambda x, y: x - y), F.zip_with("bl", "ah", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0))),
-        F.lit(0.0), lambda s, x: s + x * x,
-    )
-    pairs = stage(sa.join(sb, "strip").where("a <= b").where(gap <= eps * eps).select("a", "b").distinct(), "vec-pairs")
+    ordered = dealt.repartition("whole").sortWithinPartitions("whole", "block").select("whole", "keys", "copies", "x", "lo", "hi")
+    blocks = stage(ordered.mapInArrow(merge, schema), "vec-blocks")
+    pairs = stage(block_pairs(blocks.select("block", "lo", "hi"), eps), "vec-pairs")
     left = blocks.select(F.col("block").alias("a"), F.col("keys").alias("ak"), F.col("copies").alias("ac"), F.col("x").alias("ax"))
     right = blocks.select(F.col("block").alias("b"), F.col("keys").alias("bk"), F.col("copies").alias("bc"), F.col("x").alias("bx"))
     joined = pairs.join(left, "a").join(right, "b")
@@ -232,4 +270,5 @@ def join_blocks(distinct: DataFrame, dim: int, least: float, eps: float) -> tupl
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(count), to], ["key", "n", "to"])
 
     found = stage(joined.mapInArrow(compare, "key long, n long, to long"), "vec-links")
-    return found.where("to IS NULL").select("key", "n"), found.where("to IS NOT NULL").select(F.col("key").alias("a"), F.col("to").alias("b"))
+    unstage(short, blocks, pairs)
+    return found
