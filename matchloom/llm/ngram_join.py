@@ -20,7 +20,7 @@ class JoinRule:
     tasks to order shingles (16 bytes each; all others count as equally rare, which changes speed only); documents from
     which a shingle is hot, so that its rows are dealt to many tasks; shingles a task gathers before it counts them;
     partners of a set that are verified together; sets of a component, and their shingles, that are compared as a block
-    when links are counted."""
+    when links are counted; parts of the space of names by which the suffix filter bounds an intersection."""
 
     words: int = 5
     num: int = 80
@@ -32,6 +32,7 @@ class JoinRule:
     group: int = 64
     block_sets: int = 512
     block_shingles: int = 1 << 16
+    parts: int = 16
 
 
 def set_names(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
@@ -43,8 +44,8 @@ def set_names(row: np.ndarray, h: np.ndarray, n_rows: int) -> np.ndarray:
 
 
 def describe(docs: DataFrame, rule: JoinRule) -> DataFrame:
-    """Two kinds of rows from one pass: (id, key, n, sid) of each document, and (token, n) counts of the shingles that are
-    frequent within what a task gathers."""
+    """Two kinds of rows from one pass: (id, key, n, sid, parts) of each document, and (token, n) counts of the shingles that
+    are frequent within what a task gathers. ``parts``: how many shingles the set has in each part of the space of names."""
     id_type = docs.schema["id"].dataType.simpleString()
     arrow_id = {"bigint": pa.int64(), "int": pa.int32()}.get(id_type, pa.string())
 
@@ -58,7 +59,7 @@ def describe(docs: DataFrame, rule: JoinRule) -> DataFrame:
             n = np.diff(np.append(at, len(h)))
             at, n = at[n > 2], n[n > 2]
             none = lambda t: pa.nulls(len(at), t)
-            return pa.RecordBatch.from_arrays([none(arrow_id), none(pa.int64()), pa.array(n.astype(np.int64)), none(pa.int64()), signed(h[at])], ["id", "key", "n", "sid", "token"])
+            return pa.RecordBatch.from_arrays([none(arrow_id), none(pa.int64()), pa.array(n.astype(np.int64)), none(pa.int64()), signed(h[at]), none(pa.list_(pa.int32()))], ["id", "key", "n", "sid", "token", "parts"])
 
         for batch in batches:
             for piece in pieces(batch):
@@ -66,7 +67,9 @@ def describe(docs: DataFrame, rule: JoinRule) -> DataFrame:
                 row, h = shingle_sets(w, rule.words)
                 sid = set_names(row, h, len(w.count))
                 n = np.bincount(row, minlength=len(w.count))
-                yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("key"), pa.array(n.astype(np.int64)), signed(sid), pa.nulls(len(n), pa.int64())], ["id", "key", "n", "sid", "token"])
+                part = np.bincount(row * rule.parts + (h >> U64(40)).astype(np.int64) % rule.parts, minlength=len(n) * rule.parts).astype(np.int32)
+                parts = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * rule.parts), pa.array(part))
+                yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("key"), pa.array(n.astype(np.int64)), signed(sid), pa.nulls(len(n), pa.int64()), parts], ["id", "key", "n", "sid", "token", "parts"])
                 held.append(h)
                 size += len(h)
                 if size >= rule.flush:
@@ -74,7 +77,7 @@ def describe(docs: DataFrame, rule: JoinRule) -> DataFrame:
                     held, size = [], 0
         yield counts()
 
-    return docs.mapInArrow(run, f"id {id_type}, key long, n long, sid long, token long")
+    return docs.mapInArrow(run, f"id {id_type}, key long, n long, sid long, token long, parts array<int>")
 
 
 def postings(docs: DataFrame, rule: JoinRule, tokens: np.ndarray, counts: np.ndarray) -> DataFrame:
@@ -197,10 +200,14 @@ def rebuilt(docs: DataFrame, keys: DataFrame, rule: JoinRule) -> DataFrame:
 def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: JoinRule) -> DataFrame:
     """(a, b) of the pairs of sets that reach the similarity.
 
-    Only sets in pairs are rebuilt from their texts. Each set travels once for each pair in which it is ``b``; the sets of
-    ``a`` travel once for each group of about ``rule.group`` partners, so no task gets all partners of one set. A suffix
-    filter (sizes between common pivots) precedes the exact intersection.
+    First the suffix filter: fixed pivots cut the space of names in ``rule.parts`` parts, and two sets share no more than the
+    smaller number of shingles in each part; this needs the numbers only. Only sets in pairs that pass are rebuilt from
+    their texts. Each set travels once for each pair in which it is ``b``; the sets of ``a`` travel once for each
+    group of about ``rule.group`` partners, so no task gets all partners of one set.
     """
+    side = lambda s: sets.select(F.col("sid").alias(s), F.col("n").alias(f"n{s}"), F.col("parts").alias(f"p{s}"))
+    most = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    pairs = stage(pairs.join(side("a"), "a").join(side("b"), "b").where(most * (rule.num + rule.den) >= (F.col("na") + F.col("nb")) * rule.num).select("a", "b"), "ngram-near")
     sizes = stage(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("m")), "ngram-sizes")
     dealt = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("m") / rule.group)).alias("share"))
     members = dealt.select(F.col("b").alias("sid"), "a", "share")
@@ -224,23 +231,16 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, rule: JoinRule)
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
 
     links = stage(grouped.select("a", "share", "sid", "member", "shingles").mapInArrow(check, "a long, b long"), "ngram-links")
-    unstage(sizes, wanted, keys)
+    unstage(pairs, sizes, wanted, keys)
     return links
 
 
 def similar(x: np.ndarray, y: np.ndarray, rule: JoinRule) -> bool:
     """Whether two sorted sets reach the similarity."""
-    both = len(x) + len(y)
     if len(x) > len(y):
         x, y = y, x
-    at = np.searchsorted(y, x)
-    # between neighbouring pivots the sets share no more than the smaller part
-    i = np.linspace(0, len(x) - 1, 9).astype(np.int64)
-    gx, gy = np.diff(np.concatenate([[0], i, [len(x)]])), np.diff(np.concatenate([[0], at[i], [len(y)]]))
-    if (rule.num + rule.den) * int(np.minimum(gx, gy).sum()) < rule.num * both:
-        return False
-    inter = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-    return rule.den * inter >= rule.num * (both - inter)
+    inter = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return rule.den * inter >= rule.num * (len(x) + len(y) - inter)
 
 
 def shared_counts(x: np.ndarray, i: np.ndarray, n: int, y: np.ndarray, j: np.ndarray, m: int) -> np.ndarray:
@@ -355,7 +355,8 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
     words has its whole sequence as one. Two rows link when their sets' Jaccard similarity reaches num / den. Rows without
     words have 0 shingles and link with nothing. Equal sets are one set with many rows; repeated rows fall together. A null
     id counts as no smallest id (a component of null ids alone has a null component). Other columns are not read.
-    ``with_key`` adds the row's key, xxhash64(id, text). ``with_links`` adds n_links, the number of other rows that the row
+    ``with_key`` adds the row's key, xxhash64(id, text), and the root of its component, a name that all its rows share (null
+    without shingles). ``with_links`` adds n_links, the number of other rows that the row
     links with, copies among them.
 
     Candidates come in rounds. First every set in a token's list meets only the list's leader, so a group of near copies
@@ -365,12 +366,12 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
     """
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     told = stage(describe(source, rule), "ngram-told")
-    rows = told.where("token IS NULL").select("id", "key", "n", "sid")
+    rows = told.where("token IS NULL").select("id", "key", "n", "sid", "parts")
     top = told.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(rule.frequent).toArrow()
     tokens, counts = np.asarray(top["token"], np.int64).view(U64), np.asarray(top["n"], np.int64)
     order = np.argsort(tokens)
     lists = stage(shared_postings(postings(source, rule, tokens[order], counts[order])), "ngram-lists")
-    sets = stage(rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key")), "ngram-reps")
+    sets = stage(rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.min("parts").alias("parts")), "ngram-reps")
 
     # a list's leader is a set that holds few shingles rarer than the token: the least edited one of a group of near copies
     lead = stage(lists.groupBy("token").agg(F.min(F.struct(F.col("pos").alias("p"), F.xxhash64("sid").alias("r"), F.col("sid"), F.col("n"), F.col("some"), F.col("reach"))).alias("l")), "ngram-leaders")
@@ -383,8 +384,9 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
     more = stage(meeting(open_, rule).join(pairs, ["a", "b"], "left_anti"), "ngram-pairs")
     if more.limit(1).count():
         links = links.union(verified(more, source, sets, rule))
+        unstage(found)
         found = stage(components(links), "ngram-components")
-    unstage(lists)
+    unstage(lists, lead, pairs, open_, more, sets)
 
     if with_links:
         members = stage(rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "ngram-copies")
@@ -394,8 +396,9 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
     roots = stage(rows.where("n > 0").groupBy("sid").agg(F.min("id").alias("least")), "ngram-sids")
     rooted = stage(roots.join(found.withColumnRenamed("id", "sid"), "sid", "left").select("sid", "least", F.coalesce("component", "sid").alias("root")), "ngram-rooted")
     least = stage(rooted.groupBy("root").agg(F.min("least").alias("component")), "ngram-least")
-    named = stage(rooted.join(least, "root").select("sid", "component"), "ngram-named")
+    named = stage(rooted.join(least, "root").select("sid", "component", "root"), "ngram-named")
+    unstage(roots, rooted, least, found)
     out = rows.join(named, "sid", "left")
     counted = [F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if with_links else []
     least = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component")
-    return out.select(*(["key"] if with_key else []), F.col("id").alias(id_col), F.col("n").alias("n_shingles"), *counted, least)
+    return out.select(*(["key", "root"] if with_key else []), F.col("id").alias(id_col), F.col("n").alias("n_shingles"), *counted, least)
