@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import stage
+from .base import stage, unstage
 
 #: No document is taken more often than this, nor a source beyond this multiple of its size.
 MOST = 3
@@ -21,12 +21,17 @@ FIXES = 4
 FEW = 10_000
 
 
-def n_words(text):
-    """Number of ``[^\\x20\\x09-\\x0D]+`` in a text; null: 0."""
+def words(text):
+    """The ``[^\\x20\\x09-\\x0D]+`` of a text."""
     for c in "\t\n\x0b\x0c\r":
         text = F.replace(text, F.lit(c), F.lit(" "))
     # one literal space is split without a regular expression
-    return F.coalesce(F.size(F.array_remove(F.split(text, " ", -1), "")).cast("long"), F.lit(0).cast("long"))
+    return F.array_remove(F.split(text, " ", -1), "")
+
+
+def n_words(text):
+    """Their number; null: 0."""
+    return F.coalesce(F.size(words(text)).cast("long"), F.lit(0).cast("long"))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
@@ -124,6 +129,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: s
         duals.select(F.col("source").alias("s2"), "mean", "lam"), F.col("s").eqNullSafe(F.col("s2"))
     ).drop("s2")
     plan = held(plan, few)
+    unstage(hist)
     bound = F.broadcast(plan) if few else plan
     exponent = F.least(F.try_divide(F.col("lam") * F.col("size"), F.col("mean")), F.lit(50.0))
     draw = F.pmod(F.col("key"), F.lit(1 << 40)) / float(1 << 40)
@@ -162,6 +168,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: s
         adjusted = held(shared, few)
         if not fix.where("by <> 0").limit(1).count():
             break
+    if carry:
+        unstage(rows)
     out = (rate(measured) if carry else rated).join(F.broadcast(adjusted) if few else adjusted, at_fix, "left")
     return out.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "rate", "copies",
