@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-
 from . import chat, decontaminate, embeddings, mixing, ngram_join, pii, secrets, spans, substring, toxicity, urls
 
 
@@ -217,8 +215,5 @@ QUERIES = {
     "op9_mix": op9_mix,
     "op10_embeddings": op10_embeddings,
     "op3_ngram_links": op3_ngram_links,
-    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL = {"op2_urls": OP2_SQL, "op3_ngram_join": OP3_SQL, "op3_ngram_links": OP3_LINKS_SQL, "op4_substring_dedup": OP4_SQL, "op6_chat": OP6_SQL, "op7_decontaminate": OP7_SQL, "op10_embeddings": OP10_SQL}
-if corpus_pipeline.ORACLE_SQL:
-    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
