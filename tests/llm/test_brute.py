@@ -109,6 +109,64 @@ def test_window_entropy_is_incremental():
         assert bits == pytest.approx(-(p * np.log2(p)).sum(), abs=1e-9)
 
 
+def brute_entropy(text, rule=secrets.EntropyRule()):
+    """Entropy spans by their definition: each window is counted anew."""
+    known = {p for m in brute_secrets(text) for p in range(m[1], m[2])}
+    allow = re.compile("|".join(f"(?:{p})" for p in rule.allow))
+    cut = re.compile("|".join(f"(?:{p})" for p in rule.cut))
+    taken, part = set(), {}
+    for n, m in enumerate(re.finditer(r"[A-Za-z0-9+/=_-]{20,}", text)):
+        gone = {m.start() + p for c in cut.finditer(m[0]) for p in range(c.start(), c.end())}
+        for p in range(m.start(), m.end() - rule.window + 1):
+            places = range(p, p + rule.window)
+            s = text[p : p + rule.window]
+            if p + rule.window > m.end() or any(x in known or x in gone for x in places):
+                continue
+            share = np.array([s.count(c) for c in set(s)]) / len(s)
+            bits = -(share * np.log2(share)).sum() + 1e-12
+            if any(set(s) <= members and bits >= least for _, members, least in rule.classes) and not allow.fullmatch(s):
+                taken.update(places)
+                part.update(dict.fromkeys(places, n))
+    out = []
+    for p in sorted(taken):
+        if out and out[-1][1] == p and part[p] == part[p - 1]:
+            out[-1][1] = p + 1
+        else:
+            out.append([p, p + 1])
+    return [tuple(x) for x in out]
+
+
+def test_entropy_spans_equal_brute_force():
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    key = lambda n, a=letters: "".join(rng.choice(a) for _ in range(n))
+    parts = [lambda: key(rng.randint(10, 60)), lambda: key(rng.randint(10, 31), "0123456789abcdef"), lambda: "getUserAccountDetails2Now", lambda: "path/to/some/long/file-name", lambda: "EXAMPLE_AUTH=" + key(40),
+             lambda: "AKIA" + key(16, "ABCDEFGH0123") + "/" + key(30), lambda: "a" * 30, lambda: "token: " + key(12), lambda: "xxxxxxxx" + key(25), lambda: "2024-01-02/2025-03-04", lambda: key(40, "0123456789abcdef") + "-" + key(40)]
+    allow, cut = (re.compile("|".join(f"(?:{p})" for p in ps), re.S) for ps in (secrets.ALLOW, secrets.CUT))
+    some = 0
+    for _ in range(150):
+        text = rng.choice([" ", "", "=", " é"]).join(rng.choice(parts)() for _ in range(rng.randint(1, 6)))
+        got = secrets.entropy_spans(text, secrets.EntropyRule(), allow, cut, [(s, e) for _, s, e in secrets.base_spans(text)])
+        assert [tuple(x) for x in got] == brute_entropy(text), text
+        some += len(got)
+    assert some > 100
+
+
+def test_entropy_finds_planted_secrets():
+    """Recall on random keys and false alarms on names, paths and prose."""
+    rng = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    allow, cut = (re.compile("|".join(f"(?:{p})" for p in ps), re.S) for ps in (secrets.ALLOW, secrets.CUT))
+    find = lambda t: secrets.entropy_spans(t, secrets.EntropyRule(), allow, cut, [(s, e) for _, s, e in secrets.base_spans(t)])
+    keys = ["".join(rng.choice(letters) for _ in range(rng.choice([32, 40, 64]))) for _ in range(500)]
+    assert sum(bool(find(f"the key {k} here")) for k in keys) >= 0.99 * len(keys)
+    hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(30)) for _ in range(500)]
+    assert sum(bool(find(f"the key {k} here")) for k in hexes) >= 0.95 * len(hexes)
+    words = ["get", "user", "account", "details", "window", "handler", "factory", "bean", "config", "service", "request", "the", "of", "http", "v2", "id"]
+    names = [rng.choice(["", "_", "-", "/"]).join(w.title() if i % 2 else w for i, w in enumerate(rng.choices(words, k=7))) for _ in range(500)]
+    assert sum(bool(find(f"call {n}({n})")) for n in names) <= 0.05 * len(names)
+
+
 PII = [
     (1, "mail a.b+c@mail.example.com. or x@y or .@a.b"),
     (2, "ip 42.144.35.254 and 1.2.3.4.5 and 300.1.1.1 and 0000.0255.1.1"),
@@ -156,6 +214,84 @@ def test_pii_context(spark):
     assert masked.where("doc_id = 100").first()["text"] == "please call me at [ID] now"
 
 
+def brute_bootstrap(edges, rule):
+    """Patterns that qualify, with confidence and support, from (pattern, instance, seed, n)."""
+    good, size = {}, -1
+    while len(good) != size:
+        size = len(good)
+        score = {}
+        for p, i, seed, _ in edges:
+            rest = 1.0
+            for q in {q for q, j, s, _ in edges if j == i and not s and not seed and q in good}:
+                rest *= max(1e-6, 1 - good[q][0])
+            score[i, seed] = 1.0 if seed else round(1 - rest, 9)
+        new = {}
+        for p in {e[0] for e in edges}:
+            own = [(np.log2(1 + n), score[i, seed]) for q, i, seed, n in edges if q == p]
+            c = round(sum(w * s for w, s in own) / (1 + sum(w * (s + rule.doubt * (1 - s)) for w, s in own)), 9)
+            if c >= rule.confidence and sum(s >= rule.confidence for _, s in own) >= rule.support:
+                new[p] = (c, sum(s >= rule.confidence for _, s in own))
+        good = new
+    return good
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_bootstrap_equals_brute_force(spark, seed):
+    rng = random.Random(seed)
+    edges = {}
+    for _ in range(900):
+        p = rng.randrange(40)
+        i = rng.randrange(p // 5 * 12, p // 5 * 12 + 18)
+        edges[f"p{p}", f"i{i}", i < 45] = rng.randint(1, 4)
+    edges = [(*k, n) for k, n in edges.items()]
+    for rule in (pii.Bootstrap(), pii.Bootstrap(confidence=0.6, support=2)):
+        df = spark.createDataFrame([(p.encode(), i.encode(), s, n) for p, i, s, n in edges], "pattern binary, instance binary, seed boolean, n long")
+        got = {bytes(r["pattern"]).decode(): (pytest.approx(r["confidence"]), r["support"]) for r in pii.score_patterns(df, rule).collect()}
+        want = brute_bootstrap(edges, rule)
+        assert got == want
+        # some pattern has no seed of its own
+        assert seed == 3 or any(not any(s for p, _, s, _ in edges if p == q) for q in want)
+    assert pii.score_patterns(df.limit(0)).count() == 0
+
+
+def test_pii_finds_planted_identifiers(spark):
+    """Unseen identifiers in contexts that seeds share, two hops away, and behind long words: found; others left alone."""
+    rng = random.Random(11)
+    words = ["".join(rng.choice("abcdefghijkl") for _ in range(5)) for _ in range(500)]
+    some = lambda k: " ".join(rng.choice(words) for _ in range(k))
+    forms = ["reach them at {}", "contact number is {}", "{} is my account", "w" * 300 + " mailbox {}"]
+    hop = ["badge code {}", "{} was issued yesterday"]
+    rows, want = [], {}
+    for i in range(400):
+        kind = rng.choice(["seed", "new", "hop", "none"])
+        ident = f"ZX-{rng.randrange(60):02d}-{rng.randrange(60) + 1000}" if kind != "hop" else f"ZX-{i % 7:02d}-1000"
+        told = {"seed": lambda: rng.choice(forms).format(f"user{i}@mail.example.com"), "new": lambda: rng.choice(forms).format(ident), "hop": lambda: rng.choice(hop).format(ident), "none": lambda: f"{rng.choice(words)} {ident} {rng.choice(words)}"}[kind]()
+        rows.append((i, f"{some(4)} {told} {some(4)}", None))
+        want[i] = (kind, ident)
+    rows += [(1000 + k, f"{some(4)} {rng.choice(forms).format(f'ZX-{k:02d}-1000')} {some(4)}", None) for k in range(7)]
+    got = {r["doc_id"]: r["spans"] for r in pii.pii_spans(table(spark, rows)).collect()}
+    hit = {i: any(s["kind"] == "context" for s in got[i]) for i in want}
+    for kind, share in (("new", 0.9), ("hop", 0.9)):
+        own = [hit[i] for i, (k, _) in want.items() if k == kind]
+        assert len(own) > 50 and sum(own) / len(own) >= share, kind
+    assert not any(hit[i] for i, (k, _) in want.items() if k in ("none", "seed"))
+
+
+def test_long_texts_take_linear_time():
+    import time
+
+    texts = ["1" * 1_000_000, "1." * 500_000, "a1b2c3 " * 150_000, "+1 (" * 250_000, "a@b " * 250_000, "x" * 1_000_000 + "@a.b", "token=" + "q7Zk9LmX2vB8nR4tY6wP" * 5000, "token=aaaaaaaa " * 60_000]
+    allow, cut = (re.compile("|".join(f"(?:{p})" for p in ps), re.S) for ps in (secrets.ALLOW, secrets.CUT))
+    for t in texts:
+        began = time.process_time()
+        known = pii.base_spans(t)
+        at = pii.Contexts(t)
+        for s, e in pii.unknown_tokens(t, known):
+            at.around(s, e)
+        secrets.entropy_spans(t, secrets.EntropyRule(), allow, cut, [(s, e) for _, s, e in secrets.base_spans(t)])
+        assert time.process_time() - began < 15, t[:10]
+
+
 @pytest.mark.parametrize("shipped", [1 << 22, 0])
 def test_pii_all_patterns_take_part(spark, shipped):
     word = lambda p: "".join(chr(97 + p // 17**i % 17) for i in range(3))
@@ -350,7 +486,7 @@ def test_decontamination(spark, monkeypatch, joined):
         monkeypatch.setattr(decontaminate, "INDEX_WORDS", 0)
     rows = corpus(9)
     long = [t for _, t, _ in rows if t and 50 < len(t.split()) < 200]
-    items = [(1, long[0]), (2, " ".join(long[1].upper().split()[3:20])), (3, "a, A-a"), (4, ""), (5, None), (6, long[0]), (7, "nowhere to be found"), (8, " ".join(long[2].split()[:4]))]
+    items = [(1, long[0]), (2, " ".join(long[1].upper().split()[3:20])), (3, "a, A-a"), (4, ""), (5, None), (6, long[0]), (7, "nowhere to be found"), (8, " ".join(long[2].split()[:4])), (9, long[0])]
     bench = spark.createDataFrame([(*x, "k") for x in items], "item_id long, text string, key string")
     got = decontaminate.contamination(table(spark, rows), bench)
     assert sorted((r["doc_id"], r["n_words"], r["n_hit"], sorted(r["items"])) for r in got.collect()) == brute_hits(rows, items, 10)
@@ -413,6 +549,92 @@ def test_toxicity(spark):
     assert {r["score"] for r in toxicity.score_toxicity(table(spark, rows), learn.limit(0)).collect()} == {0.5}
 
 
+def brute_toxicity(rows, rule):
+    """Scores of the texts of (id, fold, y, text) by the definitions, in plain Python; y None: scored only."""
+    letters = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+    words = {i: [w.lower() for w in letters.findall(t)] for i, _, _, t in rows}
+    learned = [r for r in rows if r[2] is not None]
+
+    def statistics(names, share, learn):
+        n = [max(1.0, sum(y == c for _, _, y, _ in learn)) for c in (0, 1)]
+        out = {}
+        for name in {x for i, *_ in learn for x in names(words[i])}:
+            c, t = (float(sum(y == v and name in set(names(words[i])) for i, _, y, _ in learn)) for v in (0, 1))
+            held = 1 / (1 / max(t, 0.5) + 1 / max(c, 0.5))
+            s = share(name)
+            t, c = t * sum(n) / (2 * n[1]) + rule.strength * s, c * sum(n) / (2 * n[0]) + rule.strength * (1 - s)
+            out[name] = (min(round(np.log(t) - np.log(c), 3), rule.most), abs(np.log(t) - np.log(c)) * np.sqrt(held + rule.strength / 4), t / (t + c))
+        return out
+
+    def scorer(learn, z):
+        by_stem = statistics(lambda ws: [w[: rule.stem] for w in ws], lambda _: 0.5, learn)
+        by_word = statistics(lambda ws: ws, lambda w: by_stem[w[: rule.stem]][2], learn)
+
+        def raw(w):
+            found = [x[0] for x in (by_word.get(w), by_stem.get(w[: rule.stem])) if x and x[1] >= z]
+            return found[0] if found else 0.0
+
+        clean = [raw(w) for i, _, y, _ in learn if not y for w in words[i]]
+        shift = round(min(rule.cost, rule.cost - sum(clean) / max(1, len(clean))), 3)
+        return lambda i: np.array([raw(w) + shift for w in words[i]])
+
+    def best(s):
+        return [float(s[a:b].sum()) for a, b in brute_segments(s)]
+
+    chosen = None
+    for z in rule.z:
+        held = {i: scorer([r for r in learned if r[1] != f], z)(i) for i, f, *_ in learned}
+        clean = [held[i] for i, _, y, _ in learned if not y and len(held[i])]
+        every = np.concatenate(clean)
+        lo, hi = 1e-3, 20.0
+        while hi - lo > 1e-14:
+            lo, hi = (lo, (lo + hi) / 2) if np.exp(np.minimum((lo + hi) / 2 * every, 50)).mean() > 1 else ((lo + hi) / 2, hi)
+        size = len(clean) / sum(len(s) * np.exp(-lo * max(best(s), default=0.0)) for s in clean)
+
+        def features(s, lo=lo, size=size):
+            found = best(s)
+            if not found:
+                return [1.0, 0.0, 0.0, 0.0]
+            level = np.log(size * len(s)) / lo
+            p = 1 - np.exp(-np.exp(-lo * (max(found) - level)))
+            sure = [(b - a, x) for (a, b), x in zip(brute_segments(s), found, strict=True) if x > level]
+            return [1.0, np.log1p(min(60.0, -np.log(max(p, 1e-26)))), np.log1p(max(0.0, sum(x - max(level, 0.0) for _, x in sure))), sum(n for n, _ in sure) / len(s)]
+
+        x, y = np.array([features(held[i]) for i, *_ in learned]), np.array([r[2] for r in learned], float)
+        w = toxicity.logistic(x, y)
+        p = 1 / (1 + np.exp(-x @ w))
+        loss = -(y * np.log(p + 1e-9) + (1 - y) * np.log(1 - p + 1e-9)).mean()
+        if chosen is None or loss < chosen[0] - 1e-12:
+            final = scorer(learned, z)
+            chosen = (loss, {i: 1 / (1 + np.exp(-np.array(features(final(i))) @ w)) for i, *_ in rows})
+    return chosen[1]
+
+
+def test_toxicity_equals_brute_force(spark):
+    rng = random.Random(9)
+    plain = ["".join(rng.choice("abcdé") for _ in range(rng.randint(2, 6))) for _ in range(40)]
+    rows, labels = [], []
+    for i in range(90):
+        words = [rng.choice(plain) for _ in range(rng.randint(0, 25))]
+        toxic = int(i % 4 == 0)
+        if toxic or i % 9 == 0:
+            words += [rng.choice(["vileA", "vileb", "nasty", plain[0]]) for _ in range(rng.randint(0, 3))]
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), None))
+        if i < 70:
+            labels.append((i, toxic))
+    labels += [(3, 0), (4, 1), (4, 0), (5000, 1)]
+    rows += [(100, None, None), (101, "vilec vilec", None), (7, rows[7][1], None)]
+    rule = toxicity.Fit(z=(0.8, 1.5, 2.5))
+    learn = spark.createDataFrame(labels, "doc_id long, toxic int")
+    fold = {r["i"]: r["f"] for r in spark.range(200).select(F.col("id").alias("i"), F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(rule.folds)).alias("f")).collect()}
+    y = {i: max(t for j, t in labels if j == i) for i, _ in labels}
+    want = brute_toxicity([(i, fold[i], y.get(i), t or "") for i, t in {i: t for i, t, _ in rows}.items()], rule)
+    got = toxicity.score_toxicity(table(spark, rows), learn, rule).collect()
+    assert len(got) == len(rows) and len({round(v, 6) for v in want.values()}) > 10
+    assert all(r["score"] == pytest.approx(want[r["doc_id"]], abs=1e-6) for r in got)
+
+
 # --- mixing ---------------------------------------------------------------------------------------------------------------
 
 
