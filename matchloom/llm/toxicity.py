@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import carried, restored
-from .textbuf import NON_WORD, U64, Words, mix, pieces
+from .base import carried, restored, stage, unstage
+from .textbuf import NON_WORD, U64, Words, mix, pieces, signed
 
 #: Digits split words here too: a word is a run of letters and non-ASCII characters.
 LETTERS = NON_WORD.copy()
@@ -23,23 +23,24 @@ SEGMENTS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("sco
 
 @dataclass(frozen=True)
 class Fit:
-    """rows: labelled rows that are learned from, at most (the first by hash of the id); chars: labelled texts that are
-    longer are not learned from; stem: length in bytes of the word beginnings that back off unseen words; strength: of the
-    Dirichlet priors, in rows; z: candidates for the least z-score of a token that
-    counts (many tokens need a higher one), chosen on held-out texts; words: entries of the token table at most, those
-    of the largest z; cost: mean score of a token of a clean text; most: highest score of a token."""
+    """rows: labelled rows that are learned from, at most (the first by hash of the id; their whole texts); stem: length in
+    bytes of the word beginnings that back off unseen words; strength: of the Dirichlet priors, in rows; z: candidates for
+    the least z-score of a token that counts (many tokens need a higher one), chosen on held-out texts; cost: mean score of
+    a token of a clean text; most: highest score of a token; folds: by hash of the id, for texts that a fit has not seen."""
 
     rows: int = 4_000
-    chars: int = 50_000
     stem: int = 4
     strength: float = 1.0
     z: tuple[float, ...] = (2.0, 2.5, 3.0, 3.5, 4.0)
-    words: int = 100_000
     cost: float = -0.3
     most: float = 6.0
     folds: int = 3
 
 
+#: Token scores are kept to so many digits, so that their distribution is a small table and reruns agree.
+DIGITS = 3
+
+
 @dataclass
 class Model:
     """Token scores by name (sorted), then stem scores, the score of all other tokens, the extreme-value parameters and
@@ -97,24 +98,6 @@ class Tokens:
         return Tokens(self.h[use], self.stem[use], new[self.doc[use]], len(keep))
 
 
-def log_odds(names: np.ndarray, row: np.ndarray, toxic: np.ndarray, strength: float, parent: np.ndarray | None = None, prior: tuple | None = None):
-    """(names, log-odds, z, share of toxic) from counts of rows that hold a name, under a Dirichlet prior.
-
-    The prior of a name is ``strength`` rows, split as the rows that hold its parent (its stem) are; evenly without one.
-    Counts are scaled to equal classes, so an uneven sample does not tilt them.
-    """
-    _, one = np.unique(mix(names + row.astype(U64) * U64(0x9E3779B97F4A7C15)), return_index=True)
-    uniq, first, inv = np.unique(names[one], return_index=True, return_inverse=True)
-    n_t, n_c = max(1.0, toxic.sum()), max(1.0, (1 - toxic).sum())
-    t = np.bincount(inv, toxic[row[one]], len(uniq))
-    c = np.bincount(inv, 1.0 - toxic[row[one]], len(uniq))
-    share = np.full(len(uniq), 0.5) if prior is None else prior[1][np.searchsorted(prior[0], parent[one][first])]
-    held = 1 / (1 / np.maximum(t, 0.5) + 1 / np.maximum(c, 0.5))  # of the variance: rows as counted, not as scaled
-    t, c = t * (n_t + n_c) / (2 * n_t) + strength * share, c * (n_t + n_c) / (2 * n_c) + strength * (1 - share)
-    odds = np.log(t) - np.log(c)
-    return uniq, odds, odds * np.sqrt(held + 0.5 * strength / 2), t / (t + c)
-
-
 def token_scores(model: Model, w: Tokens) -> np.ndarray:
     """Score of each token: its own, else its stem's, else that of all others."""
 
@@ -171,15 +154,15 @@ def evidence(model: Model, score: np.ndarray) -> tuple[np.ndarray, list[tuple[in
     return np.array([1.0, math.log1p(surprise(best)), math.log1p(max(0.0, over)), sum(e - s for s, e, _ in significant) / n]), significant
 
 
-def extreme_values(maxima: np.ndarray, lengths: np.ndarray, score: np.ndarray) -> tuple[float, float]:
+def extreme_values(maxima: np.ndarray, lengths: np.ndarray, values: np.ndarray, counts: np.ndarray) -> tuple[float, float]:
     """(decay, size) of P(max > x) = 1 - exp(-size * n * exp(-decay * x)) for clean texts: the decay solves
-    mean(exp(decay * score)) = 1, the size fits the maxima by maximum likelihood."""
+    mean(exp(decay * score)) = 1 over token scores (values, counts), the size fits the maxima by maximum likelihood."""
     lo, hi = 1e-3, 20.0
-    if not (score > 0).any():
+    if not (values > 0).any():
         return 1.0, 1e-3
     for _ in range(60):
         mid = (lo + hi) / 2
-        if np.exp(np.minimum(mid * score, 50)).mean() > 1:
+        if np.average(np.exp(np.minimum(mid * values, 50)), weights=counts) > 1:
             hi = mid
         else:
             lo = mid
@@ -203,72 +186,205 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
     return w
 
 
-def _statistics(w: Tokens, toxic: np.ndarray, rule: Fit) -> tuple:
-    by_stem = log_odds(w.stem, w.doc, toxic, rule.strength)
-    return log_odds(w.h, w.doc, toxic, rule.strength, w.stem, (by_stem[0], by_stem[3])), by_stem
+def _split(score: np.ndarray, w: Tokens) -> list[np.ndarray]:
+    return [score[a : a + n] for a, n in zip(w.first, w.count, strict=True)]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rule: Fit, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """(fold, y, text), staged: the whole texts of the first rule.rows labelled ids by hash, one for each id (of several texts
+    under one id the first by hash), so a bounded broadcast; the classes keep their shares, so probabilities stay true."""
+    wanted = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y"))
+    first = wanted.orderBy(F.xxhash64(F.lit("fit"), "id"), "id").limit(rule.rows)
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(first), "id")
+    one = texts.groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(rule.folds)).cast("int")
+    return stage(one.select(fold.alias("fold"), "y", "text").repartition(8), "tox-sample")
+
+
+def token_counts(sample: DataFrame, rule: Fit) -> DataFrame:
+    """(kind, name, stem, r0.., o0..) of words (kind 0) and stems (1): rows that hold the name by fold and label (r of
+    2 * fold + label), and how often clean texts of a fold hold it (o of fold). Counted in the tasks first."""
+
+    def counted(kind, names, w, stem, cell):
+        order = np.lexsort((w.doc, cell[w.doc], names))
+        n, d = names[order], w.doc[order]
+        c = cell[d]
+        group = np.append(True, (n[1:] != n[:-1]) | (c[1:] != c[:-1])) if len(n) else np.empty(0, bool)
+        at = np.flatnonzero(group)
+        pair = (group | np.append(True, d[1:] != d[:-1])) if len(n) else group
+        rows = np.add.reduceat(pair.astype(np.int64), at) if len(at) else np.empty(0, np.int64)
+        columns = [pa.array(np.full(len(at), kind, np.int32)), signed(n[at]), signed(stem[order][at]), pa.array(c[at].astype(np.int32)), pa.array(rows), pa.array(np.diff(np.append(at, len(n))))]
+        return pa.RecordBatch.from_arrays(columns, ["kind", "name", "stem", "cell", "rows", "occ"])
+
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch):
+                w = Tokens.of(piece.column("text"), rule.stem)
+                cell = 2 * np.asarray(piece.column("fold")) + np.asarray(piece.column("y"))
+                yield counted(0, w.h, w, w.stem, cell)
+                yield counted(1, w.stem, w, w.stem, cell)
+
+    rows = sample.mapInArrow(run, "kind int, name long, stem long, cell int, rows long, occ long")
+    of = lambda i, c: F.sum(F.when(F.col("cell") == i, F.col(c)).otherwise(0))
+    return rows.groupBy("kind", "name").agg(
+        F.max("stem").alias("stem"), *(of(i, "rows").alias(f"r{i}") for i in range(2 * rule.folds)), *(of(2 * k, "occ").alias(f"o{k}") for k in range(rule.folds))
+    )
 
 
-def _token_model(stats: tuple, w: Tokens, toxic: np.ndarray, rule: Fit, z: float) -> Model:
-    def kept(score):
-        sure = np.flatnonzero(np.abs(score) >= z)
-        return np.sort(sure[np.argsort(-np.abs(score[sure]), kind="stable")[: rule.words]])
+def log_odds(counts: DataFrame, totals: dict[tuple[int, int], int], models: list[int], rule: Fit) -> tuple[DataFrame, DataFrame]:
+    """Words and stems with odds_m, z_m (and share_m of stems) for each model m: 0 learns from all folds, k + 1 from all but k.
 
-    (name, odds, z_word, _), (s_name, s_odds, z_stem, _) = stats
-    k, sk = kept(z_word), kept(z_stem)
-    # other tokens say nothing; every token costs the same on top, so that the drift over clean text is negative
-    model = Model(name[k], np.minimum(odds[k], rule.most), s_name[sk], np.minimum(s_odds[sk], rule.most), 0.0, 1.0, 1.0, stem_length=rule.stem)
-    clean = toxic[w.doc] == 0
-    scores = token_scores(model, w)
-    shift = min(rule.cost, rule.cost - (scores[clean].mean() if clean.any() else 0.0))
-    model.word_score, model.stem_score, model.other = model.word_score + shift, model.stem_score + shift, shift
-    return model
+    Counts are rows that hold a name, scaled to equal classes, so an uneven sample does not tilt them. The prior of a name
+    is ``strength`` rows, split as the rows that hold its stem are; evenly for a stem. z is 0 for a name that the model's
+    rows do not hold.
+    """
 
+    def columns(m, share):
+        folds = [k for k in range(rule.folds) if k != m - 1]
+        n = [max(1.0, float(sum(totals.get((k, y), 0) for k in folds))) for y in (0, 1)]
+        c, t = (sum((F.col(f"r{2 * k + y}") for k in folds), F.lit(0.0)) for y in (0, 1))
+        held = 1 / (1 / F.greatest(t, F.lit(0.5)) + 1 / F.greatest(c, F.lit(0.5)))  # of the variance: rows as counted, not as scaled
+        t_, c_ = t * (sum(n) / (2 * n[1])) + rule.strength * share, c * (sum(n) / (2 * n[0])) + rule.strength * (1 - share)
+        odds = F.log(t_) - F.log(c_)
+        z = F.when(t + c > 0, F.abs(odds) * F.sqrt(held + rule.strength / 4)).otherwise(0.0)
+        return {f"odds_{m}": F.least(F.round(odds, DIGITS), F.lit(rule.most)), f"z_{m}": z, f"share_{m}": t_ / (t_ + c_)}
 
-def _split(score: np.ndarray, w: Tokens) -> list[np.ndarray]:
-    return [score[a : a + n] for a, n in zip(w.first, w.count, strict=True)]
+    def with_columns(df, share):
+        return df.withColumns({k: v for m in models for k, v in columns(m, share(m)).items()})
+
+    stems = with_columns(counts.where("kind = 1").drop("kind", "stem"), lambda m: F.lit(0.5))
+    of_stem = stems.select(F.col("name").alias("stem"), *(F.col(f"{c}_{m}").alias(f"stem_{c}_{m}") for m in models for c in ("odds", "z", "share")))
+    words = with_columns(counts.where("kind = 0").join(of_stem, "stem"), lambda m: F.col(f"stem_share_{m}"))
+    return words, stems
+
+
+@dataclass
+class Table:
+    """Scores and z of all names that count under any model and any cut, and the shift of each (model, cut). Each name is in
+    several labelled rows, or its z would be lower, so the table is smaller than the rows that are learned from."""
+
+    word: np.ndarray
+    word_score: dict
+    word_z: dict
+    stem: np.ndarray
+    stem_score: dict
+    stem_z: dict
+    shift: dict
+    stem_length: int
+
+    def model(self, m: int, z: float) -> Model:
+        """Names that reach the cut. Other tokens say nothing; every token costs the same on top, so that the drift over
+        clean text is negative."""
+        k, sk, by = self.word_z[m] >= z, self.stem_z[m] >= z, self.shift[m, z]
+        return Model(self.word[k], self.word_score[m][k] + by, self.stem[sk], self.stem_score[m][sk] + by, by, 1.0, 1.0, stem_length=self.stem_length)
+
+
+def token_table(sample: DataFrame, rule: Fit) -> tuple[Table, list[int]]:
+    """The table of token scores and the models that there are: one without each fold that has rows, if others have too."""
+    totals = {(r["fold"], r["y"]): r["count"] for r in sample.groupBy("fold", "y").count().collect()}
+    there = sorted({k for k, _ in totals})
+    models = [0] + ([k + 1 for k in there] if len(there) > 1 else [])
+    counts = stage(token_counts(sample, rule), "tox-counts")
+    words, stems = log_odds(counts, totals, models, rule)
+    words = stage(words, "tox-words")
+
+    def clean(m):
+        return sum((F.col(f"o{k}") for k in range(rule.folds) if k != m - 1), F.lit(0))
+
+    def raw(m, z):
+        return F.when(F.col(f"z_{m}") >= z, F.col(f"odds_{m}")).when(F.col(f"stem_z_{m}") >= z, F.col(f"stem_odds_{m}")).otherwise(0.0)
+
+    sums = words.agg(*(F.sum(clean(m)).alias(f"n_{m}") for m in models), *(F.sum(clean(m) * raw(m, z)).alias(f"s_{m}_{i}") for m in models for i, z in enumerate(rule.z))).first()
+    shift = {(m, z): round(min(rule.cost, rule.cost - (sums[f"s_{m}_{i}"] or 0.0) / max(1, sums[f"n_{m}"] or 0)), DIGITS) for m in models for i, z in enumerate(rule.z)}
+
+    def known(df):
+        some = F.greatest(*(F.col(f"z_{m}") for m in models), F.lit(0.0)) >= min(rule.z)
+        t = df.where(some).select("name", *(f"{c}_{m}" for m in models for c in ("odds", "z"))).toArrow()
+        name = np.asarray(t["name"], np.int64).view(U64)
+        order = np.argsort(name)
+        get = lambda c: {m: np.asarray(t[f"{c}_{m}"], np.float64)[order] for m in models}
+        return name[order], get("odds"), get("z")
+
+    table = Table(*known(words), *known(stems), shift, rule.stem)
+    unstage(counts, words)
+    return table, models
+
+
+def _columns(df: DataFrame) -> np.ndarray:
+    """All rows as doubles, sorted, so that sums over them do not depend on the order of tasks."""
+    x = np.column_stack([np.asarray(c, np.float64) for c in df.toArrow().columns])
+    return x[np.lexsort(x.T[::-1])]
 
 
-def _calibrated(model: Model, held: list[tuple[np.ndarray, list[np.ndarray]]], y: np.ndarray) -> tuple[Model, float]:
-    """The model with extreme values and calibration from held-out scores, and its mean log loss there."""
-    maxima, lengths, clean, x, z = [], [], [], [], []
-    for test, rows in held:
-        for i, s in zip(test, rows, strict=True):
-            if not y[i] and len(s):
-                maxima.append(max((g[2] for g in maximal_segments(s)), default=0.0))
-                lengths.append(len(s))
-                clean.append(s)
-    if clean:
-        model.decay, model.size = extreme_values(np.array(maxima), np.array(lengths, float), np.concatenate(clean))
-    for test, rows in held:
-        x += [evidence(model, s)[0] for s in rows]
-        z += y[test].tolist()
-    if not z:
-        return model, 0.0
-    model.weights = logistic(np.array(x), np.array(z))
-    p = 1 / (1 + np.exp(-np.clip(np.array(x) @ model.weights, -40, 40)))
-    z = np.array(z)
-    return model, float(-(z * np.log(p + 1e-9) + (1 - z) * np.log(1 - p + 1e-9)).mean())
-
-
-def train(texts: list[str], toxic: list[int], rule: Fit = Fit()) -> Model:
-    """Fit on a bounded sample of labelled texts. Extreme values, calibration and the choice among ``rule.z`` use texts that
-    the token scores, refitted without them, have not seen."""
-    y = np.array(toxic, float)
-    fold = np.arange(len(y)) % rule.folds
-    whole = Tokens.of(pa.array(texts, pa.string()), rule.stem)
-    tests = []
-    for k in range(rule.folds):
-        learn, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-        if len(learn) and len(test):
-            w = whole.rows(learn)
-            tests.append((_statistics(w, y[learn], rule), w, y[learn], whole.rows(test), test))
-    stats = _statistics(whole, y, rule)
+def train(docs: DataFrame, labels: DataFrame, rule: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+    """Fit on a bounded sample of labelled rows. Extreme values, calibration and the choice among ``rule.z`` use texts that
+    the token scores, learned without their fold, have not seen.
+
+    No text reaches the driver: it gets the token table, the maximum and length of each labelled row, the distribution of
+    scores of clean tokens, and at last three features of each labelled row.
+    """
+    sample = labelled_sample(docs, labels, rule, id_col, text_col, label_col)
+    table, models = token_table(sample, rule)
+    context = docs.sparkSession.sparkContext
+    shipped = context.broadcast(table)
+
+    def unseen(piece):
+        """(cut, rows, model, scores of each row) for every cut and fold."""
+        w = Tokens.of(piece.column("text"), rule.stem)
+        fold = np.asarray(piece.column("fold"))
+        for k in np.unique(fold):
+            if k + 1 in models:
+                keep = np.flatnonzero(fold == k)
+                v = w.rows(keep)
+                for z in rule.z:
+                    model = shipped.value.model(int(k) + 1, z)
+                    yield z, keep, model, _split(token_scores(model, v), v)
+
+    def maxima(batches):
+        for batch in batches:
+            for piece in pieces(batch):
+                y = np.asarray(piece.column("y"))
+                for z, keep, _, rows in unseen(piece):
+                    clean = [s for i, s in zip(keep, rows, strict=True) if not y[i] and len(s)]
+                    top = [max((g[2] for g in maximal_segments(s)), default=0.0) for s in clean]
+                    value, n = np.unique(np.round(np.concatenate([*clean, np.empty(0)]), DIGITS), return_counts=True)
+                    kind = np.repeat([0, 1], [len(top), len(value)]).astype(np.int32)
+                    x, count = np.concatenate([top, value]), np.concatenate([np.array([len(s) for s in clean], np.int64), n])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), z)), pa.array(kind), pa.array(x), pa.array(count)], ["z", "kind", "x", "n"])
+
+    found = stage(sample.mapInArrow(maxima, "z double, kind int, x double, n long"), "tox-maxima")
+    tops = _columns(found.where("kind = 0").select("z", "x", "n"))
+    values = _columns(found.where("kind = 1").groupBy("z", "x").agg(F.sum("n").alias("n")))
+    fitted = {}
+    for z in rule.z:
+        t, v = tops[tops[:, 0] == z], values[values[:, 0] == z]
+        fitted[z] = extreme_values(t[:, 1], t[:, 2], v[:, 1], v[:, 2]) if len(t) else (1.0, 1.0)
+
+    def features(batches):
+        for batch in batches:
+            for piece in pieces(batch):
+                y = np.asarray(piece.column("y"))
+                for z, keep, model, rows in unseen(piece):
+                    model.decay, model.size = fitted[z]
+                    x = np.array([evidence(model, s)[0] for s in rows])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), z)), pa.array(y[keep].astype(np.int32)), *(pa.array(x[:, i]) for i in (1, 2, 3))], ["z", "y", "a", "b", "c"])
+
+    held = _columns(sample.mapInArrow(features, "z double, y int, a double, b double, c double"))
     best: tuple[float, Model] | None = None
     for z in rule.z:
-        held = [(test, _split(token_scores(_token_model(st, w, labels, rule, z), v), v)) for st, w, labels, v, test in tests]
-        model, loss = _calibrated(_token_model(stats, whole, y, rule, z), held, y)
+        model = table.model(0, z)
+        model.decay, model.size = fitted[z]
+        own = held[held[:, 0] == z]
+        loss = 0.0
+        if len(own):
+            x, y = np.column_stack([np.ones(len(own)), own[:, 2:]]), own[:, 1]
+            model.weights = logistic(x, y)
+            p = 1 / (1 + np.exp(-np.clip(x @ model.weights, -40, 40)))
+            loss = float(-(y * np.log(p + 1e-9) + (1 - y) * np.log(1 - p + 1e-9)).mean())
         if best is None or loss < best[0]:
             best = (loss, model)
+    unstage(sample, found)
+    shipped.unpersist()
     return best[1]
 
 
@@ -276,26 +392,16 @@ def probability(model: Model, features: np.ndarray) -> float:
     return float(1 / (1 + np.exp(-np.clip(features @ model.weights, -40, 40))))
 
 
-def sample_labelled(docs: DataFrame, labels: DataFrame, rule: Fit, id_col: str, text_col: str, label_col: str) -> tuple[list[str], list[int]]:
-    """Texts and labels to learn from: the first rule.rows labelled ids by hash, so a bounded broadcast and a bounded
-    collection whatever the tables' sizes; the classes keep their shares, so probabilities stay true."""
-    wanted = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
-    first = wanted.orderBy(F.xxhash64(F.lit("fit"), "id"), "id").limit(rule.rows)
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.length("text") <= rule.chars)
-    rows = texts.join(F.broadcast(first), "id").orderBy(F.xxhash64(F.lit("fit"), "id"), "id", F.xxhash64("text")).limit(rule.rows).select("text", "y").collect()
-    return [r["text"] for r in rows], [int(r["y"]) for r in rows]
-
-
 def score_toxicity(docs: DataFrame, labels: DataFrame, rule: Fit = Fit(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", carry: list[str] = ()) -> DataFrame:
     """(id, score, segments) of every document: the calibrated probability of label 1, and every significant toxic passage
     as (start, end, score) in words. Learned from ``labels`` (id, label) that join ``docs``; scored on texts alone.
 
     Null and empty texts score as texts without any segment; so do texts in a language never seen. Without labels the
-    score is 0.5 for all. Repeated rows score alike; other columns are not read but for those to ``carry``, which
+    score is 0.5 for all; of z cuts with equal loss the lowest is taken. An id with several labels is toxic if one of them
+    says so. Repeated rows score alike; other columns are not read but for those to ``carry``, which
     follow the result. One pass, no shuffle of texts.
     """
-    texts, toxic = sample_labelled(docs, labels, rule, id_col, text_col, label_col)
-    shipped = docs.sparkSession.sparkContext.broadcast(train(texts, toxic, rule).__dict__)
+    shipped = docs.sparkSession.sparkContext.broadcast(train(docs, labels, rule, id_col, text_col, label_col).__dict__)
 
     def run(batches):
         model = Model(**shipped.value)
