@@ -89,6 +89,18 @@ class Blocker:
         self.index = prune_hot_keys(postings(self.targets, self.config), self.config)
         return self
 
+    def keep(self) -> Blocker:
+        """Hold the index and the targets, so that several calls build them once; ``release`` lets them go."""
+        if self.index is None:
+            raise ValueError("fit the blocker on target records first")
+        self.targets, self.index = self.targets.persist(), self.index.persist()
+        return self
+
+    def release(self) -> None:
+        for df in (self.targets, self.index):
+            if df is not None:
+                df.unpersist()
+
     def pairs(self, s1: DataFrame) -> DataFrame:
         """Pairs after the first cut with hits and both sides' attributes."""
         if self.index is None:
@@ -101,6 +113,9 @@ class Blocker:
         return second_cut(self.pairs(s1), self.config)
 
 
+MultiStrategyBlocker = Blocker
+
+
 def candidate_lists(s1: DataFrame, candidates: DataFrame) -> DataFrame:
     """(s1_id, candidates): ids in order of rank; an empty list for entities without any."""
     lists = candidates.groupBy("s1_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "cand_id"))), lambda x: x["cand_id"]).alias("candidates"))

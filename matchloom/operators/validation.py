@@ -6,6 +6,7 @@ from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.tsv import read_ids, read_lines
@@ -22,10 +23,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def finding(df: DataFrame, rule: str, level: str, example: Column) -> DataFrame:
     """One row if ``df`` has any: how many offenders, and the first five of them in order."""
-    # five examples from five smallest: partial aggregation keeps a bounded set when there are many offenders
-    top = df.select(example.cast("string").alias("e")).orderBy("e").limit(5)
-    n = df.agg(F.count(F.lit(1)).alias("n"))
-    return n.crossJoin(top.agg(F.array_sort(F.collect_list("e")).alias("examples"))).where("n > 0").select(F.lit(rule).alias("rule"), F.lit(level).alias("level"), "n", "examples")
+    return grouped(df.select(F.lit(rule).alias("rule"), example.cast("string").alias("e")), level)
+
+
+def grouped(offenders: DataFrame, level: str = "error") -> DataFrame:
+    """A row for each rule among offenders (rule, e): their number, and the first five in order. Counts are summed and examples
+    cut to five in the tasks first, so a rule that every line breaks is no hot key."""
+    by = W.partitionBy("rule")
+    # pre-aggregated: equal examples are one row with a number
+    some = offenders.groupBy("rule", "e").agg(F.count(F.lit(1)).alias("k"))
+    n = some.groupBy("rule").agg(F.sum("k").alias("n"))
+    top = some.withColumn("r", F.row_number().over(by.orderBy(F.col("e")))).where("r <= 5")
+    five = top.groupBy("rule").agg(F.slice(F.flatten(F.array_sort(F.collect_list(F.array_repeat("e", F.least("k", F.lit(5)).cast("int"))))), 1, 5).alias("examples"))
+    return n.join(F.broadcast(five), "rule").select("rule", F.lit(level).alias("level"), "n", "examples")
 
 
 def note(spark: SparkSession, rule: str, level: str, text: str) -> DataFrame:
@@ -47,33 +57,39 @@ def result_rows(lines: DataFrame) -> DataFrame:
 
 def list_findings(lines: DataFrame, header: str, required: DataFrame, valid: DataFrame | None = None) -> DataFrame:
     """Findings V-02 to V-12 and V-18 of one result file: lines (line_no, value); required S1 ids; target ids if they are checked."""
+    line = lines.select("line_no", "value")
     first = F.lower(F.trim("value"))
-    head = lines.where("line_no = 1")
-    no_tab_head = head.where(F.col("value").contains(",") & ~F.col("value").contains("\t"))
-    wrong_head = head.where((first != header) & ~(F.col("value").contains(",") & ~F.col("value").contains("\t")))
+    comma = F.col("value").contains(",") & ~F.col("value").contains("\t")
+    heads = line.where("line_no = 1").select(F.when(comma, "V-03").when(first != header, "V-04").alias("rule"), F.col("value").alias("e")).where("rule IS NOT NULL")
     rows = result_rows(lines)
-    good = rows.where("has_tab")
-    ids = good.select("s1_id", F.explode("ids").alias("id"))
+    known = F.col("id").startswith("S2-") | F.col("id").startswith("S3-")
+    # one pass: what is wrong with a line by itself, and with each of its ids
+    flaw = lambda when, rule, example: F.when(when, F.array(F.struct(F.lit(rule).alias("rule"), example.cast("string").alias("e")))).otherwise(F.array())
+    of_line = F.concat(
+        flaw(~F.col("has_tab"), "V-05", F.concat(F.lit("line "), F.lpad(F.col("line_no").cast("string"), 9, "0"))),
+        flaw(F.col("has_tab") & (F.size("ids") != F.size(F.array_distinct("ids"))), "V-07", F.col("s1_id")),
+        F.when(F.col("has_tab"), F.transform(
+            F.filter("ids", lambda x: ~x.startswith("S2-") & ~x.startswith("S3-")),
+            lambda x: F.struct(F.when(x.startswith("S1-"), "V-08").otherwise("V-09").alias("rule"), x.alias("e")),
+        )).otherwise(F.array()),
+    )
+    lined = rows.select(F.inline(of_line))
+    # one join: ids that stand twice, are missing, or are not asked for
+    stands = rows.where("has_tab").groupBy(F.col("s1_id").alias("entity_id")).agg(F.count(F.lit(1)).alias("k"))
+    both = stands.join(required.withColumn("asked", F.lit(True)), "entity_id", "full")
+    of_id = F.concat(flaw(F.col("k") > 1, "V-06", F.col("entity_id")), flaw(F.col("k").isNull(), "V-11", F.col("entity_id")), flaw(F.col("asked").isNull(), "V-12", F.col("entity_id")))
+    offenders = heads.unionByName(lined).unionByName(both.select(F.inline(of_id)))
+    if valid is not None:
+        ids = rows.where("has_tab").select(F.explode("ids").alias("id")).where(known).select(F.col("id").alias("entity_id")).distinct()
+        offenders = offenders.unionByName(ids.join(valid, "entity_id", "left_anti").select(F.lit("V-10").alias("rule"), F.col("entity_id").alias("e")))
     empty = lines.agg(F.count(F.lit(1)).alias("c")).where("c = 0")
-    out = [
+    totals = rows.where("has_tab").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size("ids") == 0).alias("none"))
+    parts = F.array(F.concat(F.lit("empty "), F.col("none").cast("string")), F.concat(F.lit("non-empty "), (F.col("n") - F.col("none")).cast("string")))
+    return reduce(DataFrame.unionByName, [
         finding(empty, "V-02", "error", F.lit("file is empty")),
-        finding(no_tab_head, "V-03", "error", F.col("value")),
-        finding(wrong_head, "V-04", "error", F.col("value")),
-        finding(rows.where("NOT has_tab"), "V-05", "error", F.concat(F.lit("line "), F.lpad(F.col("line_no").cast("string"), 9, "0"))),
-        finding(good.groupBy("s1_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "V-06", "error", F.col("s1_id")),
-        finding(good.where(F.size("ids") != F.size(F.array_distinct("ids"))), "V-07", "error", F.col("s1_id")),
-        finding(ids.where(F.col("id").startswith("S1-")), "V-08", "error", F.col("id")),
-        finding(ids.where(~F.col("id").startswith("S1-") & ~F.col("id").startswith("S2-") & ~F.col("id").startswith("S3-")), "V-09", "error", F.col("id")),
-        finding(required.join(good.select(F.col("s1_id").alias("entity_id")), "entity_id", "left_anti"), "V-11", "error", F.col("entity_id")),
-        finding(good.select(F.col("s1_id").alias("entity_id")).distinct().join(required, "entity_id", "left_anti"), "V-12", "error", F.col("entity_id")),
-        good.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size("ids") == 0).alias("none")).select(
-            F.lit("V-18").alias("rule"), F.lit("info").alias("level"), "n", F.array(F.concat(F.lit("empty "), F.col("none").cast("string")), F.concat(F.lit("non-empty "), (F.col("n") - F.col("none")).cast("string"))).alias("examples")
-        ),
-    ]
-    if valid is not None:
-        unknown = ids.where(F.col("id").startswith("S2-") | F.col("id").startswith("S3-")).select(F.col("id").alias("entity_id")).distinct().join(valid, "entity_id", "left_anti")
-        out.insert(8, finding(unknown, "V-10", "error", F.col("entity_id")))
-    return reduce(DataFrame.unionByName, out)
+        grouped(offenders),
+        totals.select(F.lit("V-18").alias("rule"), F.lit("info").alias("level"), "n", parts.alias("examples")),
+    ])
 
 
 def subset_findings(matches: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -84,9 +100,9 @@ def subset_findings(matches: DataFrame, candidates: DataFrame) -> DataFrame:
 
 
 def encoding_findings(spark: SparkSession, path: str) -> DataFrame:
-    """V-17: files that are not UTF-8."""
-    files = spark.read.format("binaryFile").load(path)
-    return finding(files.where(~F.call_function("is_valid_utf8", F.col("content").cast("string"))), "V-17", "error", F.element_at(F.split("path", "/"), -1))
+    """V-17: files that are not UTF-8, told by their lines (their bytes are read as they are)."""
+    bad = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("f")).where(~F.call_function("is_valid_utf8", F.col("value")))
+    return finding(bad.select("f").distinct(), "V-17", "error", F.col("f"))
 
 
 def validate(spark: SparkSession, matching: str, candidates: str | None, test_dir: str, check_ids: bool = False) -> DataFrame:

@@ -16,8 +16,8 @@ GROUND_TRUTH_SCHEMA = "source1_entity_id string, matched_entity_ids string"
 
 
 def na_to_null(df: DataFrame) -> DataFrame:
-    """Cells that a dataframe reader would take for missing become null."""
-    return df.select(*(F.when(F.trim(F.col(c)).isin(NA_CELLS), None).otherwise(F.col(c)).alias(c) for c in df.columns))
+    """Cells that a dataframe reader would take for missing become null; padded ones are text."""
+    return df.select(*(F.when(F.col(c).isin(NA_CELLS), None).otherwise(F.col(c)).alias(c) for c in df.columns))
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA, pandas_na: bool = False) -> DataFrame:
@@ -30,17 +30,18 @@ def read_tsv(spark: SparkSession, path: str, schema: str = RECORD_SCHEMA, pandas
 
 
 def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
-    """Rows numbered in file order from 0, without bringing them together: counts by partition, then offsets."""
+    """Rows numbered from 0 in the order of files by name, of their blocks, and within them, without bringing rows together:
+    counts by block, then offsets. How Spark deals blocks to tasks does not matter. Rows that come from no file are
+    numbered by partition."""
     marked = df.withColumn("_m", F.monotonically_increasing_id())
-    part = F.shiftright("_m", 33)
-    sizes = marked.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select("_p", (F.sum("_n").over(W.orderBy("_p")) - F.col("_n")).alias("_o"))
-    return (
-        marked.withColumn("_p", part)
-        .join(F.broadcast(offsets), "_p")
-        .withColumn(name, F.col("_o") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1)))
-        .drop("_m", "_p", "_o")
-    )
+    if df.inputFiles():
+        marked = marked.withColumns({"_f": F.col("_metadata.file_path"), "_b": F.col("_metadata.file_block_start")})
+    else:
+        marked = marked.withColumns({"_f": F.lit(""), "_b": F.shiftright("_m", 33)})
+    blocks = marked.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_s"))
+    # one row for each block of a file
+    offsets = blocks.select("_f", "_b", "_s", (F.sum("_n").over(W.orderBy("_f", "_b")) - F.col("_n")).alias("_o"))
+    return marked.join(F.broadcast(offsets), ["_f", "_b"]).withColumn(name, F.col("_o") + F.col("_m") - F.col("_s")).drop("_m", "_f", "_b", "_s", "_o")
 
 
 def first_rows(df: DataFrame, n: int, ordinal: str = "ordinal") -> DataFrame:
@@ -75,8 +76,10 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct trimmed first cells after the header, blank lines skipped."""
-    lines = read_lines(spark, path).where((F.col("line_no") > 1) & (F.trim("value") != ""))
+    """Distinct trimmed first cells after the header, blank lines skipped; a header that further files repeat is none."""
+    lines = read_lines(spark, path)
+    header = lines.where("line_no = 1").select("value")
+    lines = lines.where((F.col("line_no") > 1) & (F.trim("value") != "")).join(F.broadcast(header), "value", "left_anti")
     return lines.select(F.trim(F.split("value", "\t")[0]).alias("entity_id")).distinct()
 
 

@@ -15,8 +15,10 @@ from ..operators.scoring import assemble, score_pairs
 def match_arrivals(arrivals: DataFrame, blocker: Blocker, out: str, checkpoint: str, threshold: float | None = None, model=None, config: MatchConfig = MatchConfig()) -> StreamingQuery:
     """Match each micro-batch of raw S1 records (streaming, with ordinal) and append the result rows as Parquet.
 
-    Files are written by batch number, so a batch that runs again replaces its own rows.
+    Files are written by batch number, so a batch that runs again replaces its own rows. The blocker's index is built with
+    the first batch and held; release it when the query has ended.
     """
+    blocker.keep()
     cut = config.fallback_threshold if threshold is None else threshold
 
     def match(batch: DataFrame, number: int) -> None:

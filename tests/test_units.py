@@ -298,3 +298,58 @@ def test_same_rows_whatever_the_partitions(spark, partitions):
         assert run_spark(r02_candidates(spark, DATA)) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_result_files_of_many_parts(spark, tmp_path):
+    """Rows are numbered by file and place, however Spark packs files into tasks; own files of several uneven parts pass."""
+    from matchloom.operators.validation import CANDIDATE_HEADER, MATCH_HEADER, list_findings
+    from matchloom.sources.tsv import read_ids, read_lines, write_candidate_pairs, write_matching_results
+
+    ids = [f"S1-{i:05d}" for i in range(2000)]
+    rows = [(i, n, ["S2-1"] * 1 if n % 3 else [], [f"S2-{k}" for k in range(1, 1 + (60 if n > 1500 else 1))]) for n, i in enumerate(ids)]
+    results = spark.createDataFrame(rows, "source1_entity_id string, ordinal long, matched array<string>, candidates array<string>")
+    required = spark.createDataFrame([(i,) for i in ids], "entity_id string")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_matching_results(results, str(tmp_path / "m.tsv"))
+        write_candidate_pairs(results, str(tmp_path / "c.tsv"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    for path, header in (("m.tsv", MATCH_HEADER), ("c.tsv", CANDIDATE_HEADER)):
+        assert len(list((tmp_path / path).glob("part-*"))) > 3
+        lines = read_lines(spark, str(tmp_path / path))
+        assert [r["value"].split("\t")[0] for r in lines.orderBy("line_no").collect()] == ["source1_entity_id", *ids]
+        assert {r["rule"] for r in list_findings(lines, header, required).collect()} == {"V-18"}
+    assert read_ids(spark, str(tmp_path / "m.tsv")).count() == 2000
+    folder = tmp_path / "headed"
+    folder.mkdir()
+    (folder / "a.tsv").write_text("entity_id\tx\nS1-1\ta\n")
+    (folder / "b.tsv").write_text("entity_id\tx\nS1-2\tb\n" * 1 + "S1-3\tc\n" * 500)
+    assert sorted(r[0] for r in read_ids(spark, str(folder)).collect()) == ["S1-1", "S1-2", "S1-3"]
+
+
+def test_padded_cells_are_text(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\t NA \tNA\tx\n")
+    row = read_tsv(spark, str(tmp_path / "a.tsv"), pandas_na=True).first()
+    assert row["business_name"] == " NA " and row["business_address"] is None
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from matchloom.__main__ import main
+
+    write_sources(tmp_path)
+    assert main(["infer", "--test-dir", str(tmp_path), "--out-dir", str(tmp_path / "out"), "--report", str(tmp_path / "report.txt")]) == 0
+    assert (tmp_path / "report.txt").exists() and "'entities': 5" in capsys.readouterr().out
+
+
+def test_blocker_keeps_its_index(spark):
+    from matchloom.operators.blocking import Blocker, MultiStrategyBlocker
+    from matchloom.operators.records import normalize_records
+    from matchloom.sources.samples import sample
+
+    s1, s2, s3 = (normalize_records(sample(spark, s)) for s in ("S1", "S2", "S3"))
+    blocker = MultiStrategyBlocker().fit(s2, s3).keep()
+    assert blocker.index.is_cached and blocker.candidates(s1).count() == Blocker().fit(s2, s3).candidates(s1).count()
+    blocker.release()
+    assert not blocker.index.is_cached
