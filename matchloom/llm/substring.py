@@ -15,7 +15,7 @@ from .recompress import anchors
 from .textbuf import U64, Words, mix, pieces, signed
 
 #: Anchors gathered in a task before hot ones are looked for, documents that make one hot, and shares a hot one is dealt to.
-FLUSH, HOT, SHARES = 300_000, 64, 997
+FLUSH, HOT, SHARES = 300_000, 2, 997
 _SALT = 1
 _LAST = (1 << 63) - 1
 
@@ -32,7 +32,8 @@ def sequence_key(w: Words) -> tuple[np.ndarray, np.ndarray]:
 
 def hot_first(anchor: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(anchor, share, key) rows without repeats. An anchor that HOT or more documents here hold is known to be shared: its
-    rows are dealt to many shares, and two of them stay in share 0 as witnesses for rows of other tasks."""
+    rows are dealt to many shares, and one of them stays in share 0 as a witness for rows of other tasks. So one task
+    adds one row of an anchor to share 0, however common it is."""
     order = np.lexsort((key, anchor))
     anchor, key = anchor[order], key[order]
     new = np.ones(len(anchor), bool)
@@ -42,7 +43,7 @@ def hot_first(anchor: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarr
     n = np.diff(np.append(at, len(anchor)))
     hot = np.repeat(n >= HOT, n)
     share = np.where(hot, 1 + (key.view(np.uint64) % U64(SHARES)).astype(np.int64), 0)
-    ends = np.concatenate([at[n >= HOT], (at + n - 1)[n >= HOT]])
+    ends = at[n >= HOT]
     return np.concatenate([anchor, anchor[ends]]), np.concatenate([share, np.zeros(len(ends), np.int64)]), np.concatenate([key, key[ends]])
 
 
@@ -123,7 +124,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, id_col: str = "doc_id", tex
     sequence also starts in a document with a smaller id. Kept words are joined by one space.
 
     Words are runs of non-whitespace (ASCII whitespace). Windows are judged on the input. Null and empty texts have no
-    words; rows with a null id come after all others and, like rows with the same id, remove nothing from each other;
+    words; ids are integers or cast to long; rows with a null id come after all others and, like rows with the same id, remove nothing from each other;
     repeated rows give repeated results; other columns are not read.
 
     Recompression rounds name runs and pairs of symbols by hashes, so equal substrings get the same interior symbols in
