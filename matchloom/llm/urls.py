@@ -8,8 +8,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Most characters of rules that a broadcast trie may hold; larger lists are joined (``judge_by_join``).
-TRIE_CHARS = 32_000_000
+from .base import stage, unstage
+
+#: Most nodes of a trie that is shipped (counted as labels and segments of all rules; about 250 bytes each in a worker); the
+#: rules of larger lists are joined (``judge_by_join``).
+TRIE_NODES = 400_000
 
 
 @dataclass(frozen=True)
@@ -76,7 +79,7 @@ def judge_urls(pages: DataFrame, rules: list[Rule], default: str = "allow", id_c
     Equally long rules that disagree: block wins. Host and path are cut by built-in functions; the trie is shipped to
     the tasks once (its size is checked) and asked in Arrow batches. No shuffle. Null urls have an empty host and path.
     """
-    if sum(len(r.name) + 16 for r in rules) > TRIE_CHARS:
+    if sum(r.name.count(".") + r.name.count("/") + 2 + len(r.name) // 200 for r in rules) > TRIE_NODES:
         spark = pages.sparkSession
         table = spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
         return judge_by_join(pages, table, default, id_col, url_col)
@@ -95,13 +98,15 @@ def judge_urls(pages: DataFrame, rules: list[Rule], default: str = "allow", id_c
 def judge_by_join(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """The same for a table (verdict, host, path) of any size: joins on the host and its parents, once per distinct url.
 
-    Distinct urls are joined (a url that a third of all pages share is one row) and rejoined to the pages.
+    Distinct urls are joined (a url that a third of all pages share is one row) and rejoined to the pages. Both sides of
+    each join are scans of staged tables, so adaptive execution splits a parent such as ``com`` and a hot url. Null urls have
+    an empty host and path; rules with a null part fit nothing; an empty table of rules leaves the default to all.
     """
     cut = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
-    distinct = cut.select("host", "path").distinct()
+    distinct = stage(cut.select("host", "path").distinct(), "url-distinct")
     labels = F.split("host", r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    r = rules.select(F.col("host").alias("parent"), F.col("path").alias("start"), F.col("verdict").alias("v"))
+    r = stage(rules.select(F.col("host").alias("parent"), F.col("path").alias("start"), F.col("verdict").alias("v")), "url-rules")
     best = (
         distinct.withColumn("parent", F.explode(parents))
         .join(r, "parent")
@@ -110,4 +115,6 @@ def judge_by_join(pages: DataFrame, rules: DataFrame, default: str = "allow", id
         .agg(F.max(F.struct(F.length(F.concat("parent", "start")).alias("n"), F.col("v"), F.concat("parent", "start").alias("rule"))).alias("b"))
         .select("host", "path", F.col("b.rule").alias("rule"), F.col("b.v").alias("verdict"))
     )
+    best = stage(best, "url-best")
+    unstage(distinct, r)
     return cut.join(best, ["host", "path"], "left").select(id_col, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
