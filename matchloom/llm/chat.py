@@ -33,7 +33,9 @@ def expand_conversations(conversations: DataFrame, target_role: str = "assistant
     Turns after the last such reply (or all, where there is none) stand in one further example without a target
     (target null, an empty mask), so nothing of a conversation is lost. Turns are ordered by turn (null first), then
     role, then text; a null role or text is empty; rows with a null conv_id are one conversation; repeated rows are
-    turns of their own; other columns are not read. One shuffle, by conversation.
+    turns of their own; other columns are not read. One shuffle, by conversation: a conversation's turns and its examples,
+    which repeat all earlier turns, are one task's work, so one conversation must stay within a row (2 GB; with n replies
+    its examples hold about n / 2 times its text).
     """
     turns = conversations.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
@@ -73,7 +75,6 @@ def expand_conversations(conversations: DataFrame, target_role: str = "assistant
 def read_turns(formatted: Column) -> Column:
     """array<struct<role, text>> that a formatted text holds."""
     parts = F.filter(F.split(formatted, r"<\|end\|>", -1), lambda p: p != "")
-    close = lambda p: F.instr(p, CLOSE)
     return F.transform(
         parts,
         lambda p: F.struct(
