@@ -324,6 +324,13 @@ def test_urls(spark):
     same(urls.judge_urls(df, URL_RULES), OP2_SQL, {"pages": view})
     table_ = spark.createDataFrame([(r.verdict, r.host, r.path) for r in URL_RULES], "verdict string, host string, path string")
     same(urls.judge_by_join(df, table_), OP2_SQL, {"pages": view})
+    other = table_.limit(0)
+    assert {r["verdict"] for r in urls.judge_by_join(df, other, "block").collect()} == {"block"}
+    for f in (lambda d: urls.judge_urls(d, URL_RULES), lambda d: urls.judge_by_join(d, table_)):
+        wide = df.selectExpr("page_id", "url", "'h' AS host", "'p' AS path", "'r' AS rule", "1 AS verdict", "2 AS found")
+        assert f(wide.limit(0)).count() == 0 and f(wide).columns == ["page_id", "host", "path", "rule", "verdict"]
+        long = spark.createDataFrame([(1, "http://" + "a." * 20000 + "net/es/" + "x/" * 50000)], "page_id long, url string")
+        assert f(long).first()["rule"] == "net/es/"
     trie = urls.Trie([urls.Rule("block", "a.com", "/x"), urls.Rule("allow", "a.com", "/x/y/z")])
     assert trie.find("b.a.com", "/xylo").verdict == "block" and trie.find("a.com", "/x/y/zoo").verdict == "allow" and trie.find("a.com", "/q") is None
 
