@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows of a one- or two-long-column table that may be broadcast (at most 16 MB); larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Rows of a two-long-column table that one task writes at least, where a bound on its rows is known.
+TASK_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,12 +28,15 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
-def stage(df: DataFrame, tag: str = "stage") -> DataFrame:
+def stage(df: DataFrame, tag: str = "stage", rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again.
 
     This cuts the lineage, survives a lost executor, and gives later joins plain exchanges over a scan of known size,
-    which adaptive execution can split when one key is hot and broadcast when the table is small.
+    which adaptive execution can split when one key is hot and broadcast when the table is small. With a bound ``rows`` on
+    the rows, a small table is written by few tasks, however many partitions it was computed in.
     """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // TASK_ROWS)))
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/matchloom-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -105,7 +110,8 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b: long, undirected) as (id, component): the smallest id reachable.
 
     Alternating large-star and small-star rounds; every round is two aggregations and two joins, all distributed.
-    A vertex without edges is not in the result. Self-loops and repeated edges change nothing.
+    A vertex without edges is not in the result. Self-loops and repeated edges change nothing. n edges have at most 2 n vertices, and
+    a round makes no more edges of them, so its tables are written by as many tasks as those numbers need.
     """
     e = stage(
         edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
@@ -116,13 +122,13 @@ def components(edges: DataFrame) -> DataFrame:
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state or not now[0]:
             return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(e.select(F.col("v"), F.col("v")).distinct())
-        state = now
+        state, n = now, now[0]
         both = e.union(e.select("v", "u"))
-        m = stage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "cc")
-        large = stage(both.join(m, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "cc")
-        m2 = stage(large.groupBy("u").agg(F.min("v").alias("m")), "cc")
+        m = stage(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "cc", 2 * n)
+        large = stage(both.join(m, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "cc", n)
+        m2 = stage(large.groupBy("u").agg(F.min("v").alias("m")), "cc", n)
         small = stage(
-            large.join(m2, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(m2.select("u", "m")).distinct(), "cc"
+            large.join(m2, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(m2.select("u", "m")).distinct(), "cc", 2 * n
         )
         unstage(e, m, large, m2)
         e = small

@@ -383,9 +383,11 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
     open_ = open_lists(lists, found)
     more = stage(meeting(open_, rule).join(pairs, ["a", "b"], "left_anti"), "ngram-pairs")
     if more.limit(1).count():
-        links = links.union(verified(more, source, sets, rule))
-        unstage(found)
-        found = stage(components(links), "ngram-components")
+        late = verified(more, source, sets, rule)
+        if late.limit(1).count():
+            links = links.union(late)
+            unstage(found)
+            found = stage(components(links), "ngram-components")
     unstage(lists, lead, pairs, open_, more, sets)
 
     if with_links:
