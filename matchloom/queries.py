@@ -18,11 +18,14 @@ from .operators import profiling as P
 from .operators import training as T
 from .operators.features import pair_attributes, pair_features
 from .operators.records import normalize_records
-from .operators.scoring import accept, assemble, fallback_score, score_pairs
-from .operators.validation import CANDIDATE_HEADER, MATCH_HEADER, list_findings, result_rows, subset_findings
+from .operators.scoring import accept, assemble, fallback_score, resolve_threshold, score_pairs
+from .operators.validation import CANDIDATE_HEADER, MATCH_HEADER, exit_code, list_findings, result_rows, subset_findings, validate
 from .plans.matching import compare_typed, sample_matches
 from .sources.adapters import biz_records, ground_truth, of_source
-from .sources.tsv import filtered_scan, first_by_key, first_rows, last_by_key, run_summary
+from .sources.samples import SAMPLES, TYPED
+from .sources.scratch import scratch
+from .sources.tsv import filtered_scan, first_by_key, first_rows, last_by_key, read_ids, read_lines, read_tsv, run_summary, with_ordinal, write_candidate_pairs, write_matching_results
+from .streaming.arrivals import match_arrivals
 
 CONFIG = MatchConfig()
 #: A cap at which the small tables have hot keys.
@@ -111,6 +114,20 @@ def sql_ratio(a: str, b: str) -> str:
     return f"CASE WHEN {a} = '' AND {b} = '' THEN 1.0 ELSE 2.0 * ({sql_lcs(a, b)}) / (length({a}) + length({b})) END"
 
 
+def sql_lcs_bits(m: str, marks: str) -> str:
+    """Length of a longest common subsequence, by adding bits: ``m`` is one side's length (at most 120), ``marks`` has, for each
+    character of the other side, the places on the first one that hold it."""
+    ones = f"((1::HUGEINT << {m}::INT) - 1)"
+    step = f"(((v + (v & k)) | (v - (v & k))) & {ones})"
+    return f"({m} - bit_count(list_reduce({marks}, lambda v, k: {step}, {ones})))"
+
+
+def sql_rows(names: str, rows) -> str:
+    """A table of literal rows as a subquery."""
+    cells = lambda r: ", ".join("NULL" if x is None else repr(x) if isinstance(x, (int, float)) else f"'{x}'" for x in r)
+    return "(SELECT * FROM (VALUES " + ", ".join(f"({cells(r)})" for r in rows) + f") AS t({names}))"
+
+
 def sql_sorted(a: str) -> str:
     return f"array_to_string(list_sort(string_split({a}, ' ')), ' ')"
 
@@ -418,7 +435,18 @@ def x_features(spark, d):
     return f.select("s1_id", "cand_id", *(r6(c) for c in FEATURES if c not in ("name_partial", "addr_partial")))
 
 
-@query()
+def sql_partial(a: str, b: str, name: str) -> str:
+    """CTE ``name`` (s1_id, cand_id, name): the best window of the longer side against the shorter one, both ways where equally long."""
+    place = "list_transform(range(1, length(b) + 1), lambda j: list_reduce(list_transform(range(1, length(a) + 1), lambda i: CASE WHEN substring(a, i, 1) = substring(b, j, 1) THEN 1::HUGEINT << (i - 1)::INT ELSE 0::HUGEINT END), lambda x, y: x | y))"
+    return f"""
+{name}_s AS (SELECT s1_id, cand_id, {a} AS a, {b} AS b FROM cands WHERE length({a}) <= length({b}) UNION ALL SELECT s1_id, cand_id, {b}, {a} FROM cands WHERE length({b}) <= length({a})),
+{name}_m AS (SELECT *, CASE WHEN length(a) BETWEEN 1 AND 120 THEN {place} ELSE [] END AS marks FROM {name}_s),
+{name}_w AS (SELECT s1_id, cand_id, a, length(a) AS m, substring(b, f + 1, t - f) AS v, marks[f + 1:t] AS marks FROM (SELECT *, greatest(e - length(a), 0) AS f, least(e, length(b)) AS t FROM (SELECT *, unnest(range(1, length(a) + length(b))) AS e FROM {name}_m WHERE a <> ''))),
+{name} AS (SELECT s1_id, cand_id, round(max(2.0::DOUBLE * (CASE WHEN m <= 120 THEN {sql_lcs_bits("m", "marks")} ELSE {sql_lcs("a", "v")} END) / (m + length(v))), 6) AS {name} FROM {name}_w GROUP BY ALL
+  UNION ALL SELECT DISTINCT s1_id, cand_id, CASE WHEN b = '' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM {name}_s WHERE a = '')"""
+
+
+@query(f"WITH {CANDIDATES}, {sql_partial('s1_name', 'c_name', 'name_partial')}, {sql_partial('s1_addr', 'c_addr', 'addr_partial')} SELECT s1_id, cand_id, name_partial, addr_partial FROM name_partial JOIN addr_partial USING (s1_id, cand_id)")
 def x04_x11_partial(spark, d):
     return pair_features(candidates(spark, d)).select("s1_id", "cand_id", r6("name_partial"), r6("addr_partial"))
 
@@ -443,17 +471,112 @@ def snk05_run_summary(spark, d):
     return run_summary(results(spark, d))
 
 
-@query()
+_PAGE = f"""raw AS {sql_rows("entity_id, business_name, business_address, country", [r for rows in SAMPLES.values() for r in rows])},
+recs AS (SELECT *, list_filter(string_split(norm_addr, ' '), lambda t: regexp_full_match(t, '[0-9]+')) AS nums FROM (SELECT entity_id, business_name, {sql_clean("business_name")} AS norm_name, {sql_clean("business_address")} AS norm_addr, {sql_country("country")} AS norm_country FROM raw)),
+pairs AS (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id, b.business_name, a.norm_name AS s1_name, b.norm_name AS c_name, a.norm_addr AS s1_addr, b.norm_addr AS c_addr,
+  CASE WHEN len(list_intersect(a.nums, b.nums)) > 0 THEN 1 ELSE 0 END AS common, CASE WHEN a.norm_country = b.norm_country THEN 1 ELSE 0 END AS same_country FROM recs a, recs b WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'),
+{sql_token_set("pairs", "s1_name", "c_name", "n_sim")},
+{sql_token_set("n_sim_t", "s1_addr", "c_addr", "a_sim")},
+page AS (SELECT *, round(greatest(0.01::DOUBLE, least(0.99::DOUBLE, 0.35::DOUBLE * n_sim + 0.25::DOUBLE * ({sql_ratio("s1_name", "c_name")}) + 0.20::DOUBLE * a_sim + 0.10::DOUBLE * common + 0.10::DOUBLE * same_country - 0.25::DOUBLE * (CASE WHEN n_sim >= 0.85 AND a_sim < 0.35 THEN 1 ELSE 0 END))), 9) AS score FROM a_sim_t)"""
+
+
+@query(f"WITH {_PAGE} SELECT s1_id, cand_id, business_name, score, printf('%.2f', score) AS score_text, printf('%.3f', n_sim) AS name_similarity, printf('%.3f', a_sim) AS address_similarity FROM page")
 def m03_dashboard_score(spark, d):
     """All targets against each sample S1 record (literal tables)."""
     return sample_matches(spark)
 
 
-@query()
+_TYPED = f"""raw AS {sql_rows("n1, a1, n2, a2", [(*TYPED[0], *TYPED[1])])},
+done AS (SELECT {sql_expand(sql_clean("n1"), LEGAL)} AS name_1, {sql_expand(sql_clean("n2"), LEGAL)} AS name_2, {sql_expand(sql_clean("a1"), {**LEGAL, **ADDRESS})} AS addr_1, {sql_expand(sql_clean("a2"), {**LEGAL, **ADDRESS})} AS addr_2 FROM raw),
+{sql_token_set("done", "name_1", "name_2", "n_sim")},
+{sql_token_set("n_sim_t", "addr_1", "addr_2", "a_sim")}"""
+
+
+@query(f"WITH {_TYPED} SELECT name_1, name_2, addr_1, addr_2, round(100 * n_sim, 6) AS name_similarity, round(100 * a_sim, 6) AS addr_similarity, round(100 * n_sim, 6) > 80 AND round(100 * a_sim, 6) > 80 AS same FROM a_sim_t")
 def d03_compare_typed(spark, d):
     return compare_typed(spark)
 
 
+#: (override, the model's config, is there a model): the fallback's threshold rules without a model.
+THRESHOLD_CASES = [(0.4, {"optimal_threshold": 0.6}, True), (None, {"optimal_threshold": 0.6}, True), (None, {}, True), (None, None, True), (0.4, {"optimal_threshold": 0.6}, False), (0.0, None, True)]
+
+
+@query(f"SELECT * FROM {sql_rows('no, threshold', list(enumerate([0.4, 0.6, 0.7, 0.7, 0.75, 0.0])))}".replace("SELECT * FROM", "SELECT no::BIGINT AS no, threshold::DOUBLE AS threshold FROM", 1))
+def m04_thresholds(spark, d):
+    return spark.createDataFrame([(i, resolve_threshold(*case)) for i, case in enumerate(THRESHOLD_CASES)], "no long, threshold double")
+
+
+@query(f"WITH {CANDIDATES} SELECT s1_id, cand_id, rank, round(score, 6) AS score FROM cands")
+def b09_index_reused(spark, d):
+    """One index asked twice, for S1 records of even and of odd ordinals."""
+    s1, s23 = sides(spark, d)
+    blocker = B.MultiStrategyBlocker().fit(s23)
+    both = [blocker.candidates(s1.where(F.col("ordinal") % 2 == k)) for k in (0, 1)]
+    return both[0].unionByName(both[1]).select("s1_id", "cand_id", F.col("rank").cast("long").alias("rank"), r6("score"))
+
+
+# --- files and streams --------------------------------------------------------------------------------------------------
+
+
+def _write_source(spark, d, source: int, path: str) -> None:
+    """Raw records of a source as a TSV folder in document order, a header in each file."""
+    columns = ["entity_id", "business_name", "business_address", "country"]
+    of_source(biz_records(spark, d), source).orderBy("ordinal").select(*columns).write.csv(path, sep="\t", header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+@query(f"WITH {BIZ} SELECT entity_id, business_name, business_address, country, row_number() OVER (ORDER BY ordinal) - 1 AS row_no FROM biz WHERE entity_id LIKE 'S1-%'")
+def src01_tsv_records(spark, d):
+    """Written as TSV and read again, rows numbered in the order of the files."""
+    path = scratch(spark, "source1")
+    _write_source(spark, d, 1, path)
+    return with_ordinal(read_tsv(spark, path), "row_no")
+
+
+@query(f"WITH {BIZ} SELECT DISTINCT entity_id FROM biz WHERE entity_id LIKE 'S2-%'")
+def src05_read_ids(spark, d):
+    path = scratch(spark, "source2")
+    _write_source(spark, d, 2, path)
+    return read_ids(spark, path)
+
+
+def _file_sql(header: str, ids: str, where: str) -> str:
+    """Lines of a result file: ids of each S1 record in the order of documents."""
+    return (
+        f"WITH {SCORED}, m AS (SELECT s1_id, {ids} AS l FROM scored WHERE {where} GROUP BY 1) "
+        f"SELECT 1::BIGINT AS line_no, replace('{header}', chr(92) || 't', chr(9)) AS value UNION ALL "
+        "SELECT row_number() OVER (ORDER BY ordinal) + 1, entity_id || chr(9) || coalesce(l, '') FROM recs LEFT JOIN m ON entity_id = s1_id WHERE entity_id LIKE 'S1-%'"
+    )
+
+
+@query(_file_sql("source1_entity_id\\tmatched_entity_ids", "string_agg(cand_id, ',' ORDER BY cand_id)", "prob >= 0.75"))
+def snk01_result_file(spark, d):
+    """matching_results, written and read again line by line."""
+    path = scratch(spark, "matches")
+    write_matching_results(results(spark, d), path)
+    return read_lines(spark, path).select("line_no", "value")
+
+
+@query(_file_sql("source1_entity_id\\tcandidate_entity_ids", "string_agg(cand_id, ',' ORDER BY rank)", "true"))
+def snk02_candidate_file(spark, d):
+    """candidate_pairs, written and read again line by line."""
+    path = scratch(spark, "candidates")
+    write_candidate_pairs(results(spark, d), path)
+    return read_lines(spark, path).select("line_no", "value")
+
+
+@query(ORACLE_SQL["snk01_matching_results"])
+def stream_arrivals(spark, d):
+    """S1 records that arrive as files of a stream, two a batch, against a fixed index."""
+    at = scratch(spark, "stream")
+    s1 = of_source(biz_records(spark, d), 1).select("entity_id", "business_name", "business_address", "country", F.col("ordinal").cast("long").alias("ordinal"))
+    s1.repartition(5, "entity_id").write.parquet(f"{at}/in")
+    blocker = B.Blocker().fit(targets(spark, d))
+    arrivals = spark.readStream.schema("entity_id string, business_name string, business_address string, country string, ordinal long").option("maxFilesPerTrigger", 2).parquet(f"{at}/in")
+    match_arrivals(arrivals, blocker, f"{at}/out", f"{at}/checkpoint").awaitTermination()
+    blocker.release()
+    return spark.read.parquet(f"{at}/out").select("source1_entity_id", join_ids(F.col("matched")).alias("matched_entity_ids"))
+
+
 # --- evaluation, tuning, sampling ---------------------------------------------------------------------------------------
 
 _EVAL = f"""{SCORED}, {TRUTH.strip()},
@@ -597,6 +720,54 @@ def src06_result_rows(spark, d):
     return result_rows(_faulty_lines(spark, d)).withColumn("ids", F.array_join("ids", ","))
 
 
+_FILES = """n AS (SELECT count(*) AS n, count(*) FILTER (doc_id % 3 = 0) AS off FROM documents)
+SELECT c.cases AS case_name, c.rule, c.level, CASE c.n WHEN -1 THEN n.n WHEN -2 THEN n.off ELSE c.n END::BIGINT AS n, c.code::INT AS exit_code FROM n, """ + sql_rows("cases, rule, level, n, code", [
+    ("no source", "V-13", "error", 1, 1),
+    ("no result", "V-14", "warning", 1, 1), ("no result", "V-01", "error", 1, 1),
+    ("empty", "V-14", "warning", 1, 1), ("empty", "V-02", "error", 1, 1), ("empty", "V-11", "error", -1, 1), ("empty", "V-18", "info", 0, 1), ("empty", "V-15", "warning", 1, 1),
+    ("bytes", "V-14", "warning", 1, 1), ("bytes", "V-17", "error", 1, 1), ("bytes", "V-18", "info", -1, 1), ("bytes", "V-15", "warning", 1, 1),
+    ("header", "V-14", "warning", 1, 1), ("header", "V-04", "error", 1, 1), ("header", "V-18", "info", -1, 1), ("header", "V-15", "warning", 1, 1),
+    ("subset", "V-18", "info", -1, 0), ("subset", "V-18", "info", -1, 0), ("subset", "V-16", "warning", -2, 0),
+]) + " c"
+
+
+@query(f"WITH {_FILES}")
+def v_files(spark, d):
+    """Findings and exit codes of written files: sources or results that are missing, empty ones, bytes that are no UTF-8, wrong headers,
+    matches that are no candidates."""
+    at = scratch(spark, "validated")
+    ids = docs(spark, d).select("doc_id").orderBy("doc_id")
+
+    def write(name: str, header: str, line: str, rows: DataFrame = ids) -> str:
+        body = rows.select(F.lit(1).alias("o"), "doc_id", F.expr(line).alias("value"))
+        head = spark.range(1).select(F.lit(0).alias("o"), F.lit(0).cast("long").alias("doc_id"), F.lit(header).alias("value"))
+        # one file: its header is the first line
+        (head.union(body) if header else body).coalesce(1).sortWithinPartitions("o", "doc_id").select("value").write.text(f"{at}/{name}")
+        return f"{at}/{name}"
+
+    for k in (1, 2, 3):
+        write(f"full/test_source{k}.tsv", "entity_id\tbusiness_name", f"concat('S{k}-', doc_id, '\t')")
+    write("first/test_source1.tsv", "entity_id\tbusiness_name", "concat('S1-', doc_id, '\t')")
+    both = "concat('S1-', doc_id, '\t', 'S2-', doc_id, ',S3-', doc_id)"
+    least = docs(spark, d).agg(F.min("doc_id").alias("least"))
+    odd = ids.crossJoin(F.broadcast(least))
+    matches = write("matches.tsv", MATCH_HEADER, both)
+    cases = {
+        "no source": (matches, None, f"{at}/none", False),
+        "no result": (f"{at}/none.tsv", None, f"{at}/first", False),
+        "empty": (write("empty.tsv", "", both, ids.where("false")), None, f"{at}/first", True),
+        "bytes": (write("bytes.tsv", MATCH_HEADER, "concat('S1-', doc_id, '\t', 'S2-', CASE WHEN doc_id = least THEN CAST(X'FF' AS STRING) ELSE CAST(doc_id AS STRING) END)", odd), None, f"{at}/first", False),
+        "header": (write("header.tsv", "source1\tmatched", both), None, f"{at}/first", False),
+        "subset": (matches, write("candidates.tsv", CANDIDATE_HEADER, "concat('S1-', doc_id, '\t', 'S2-', doc_id, CASE WHEN doc_id % 3 = 0 THEN '' ELSE concat(',S3-', doc_id) END)"), f"{at}/full", True),
+    }
+    out = None
+    for name, (result, candidate, sources, check) in cases.items():
+        found = validate(spark, result, candidate, sources, check)
+        one = found.select(F.lit(name).alias("case_name"), "rule", "level", F.col("n").cast("long").alias("n"), F.lit(exit_code(found)).alias("exit_code"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("SELECT lang AS country, count(*) AS n FROM documents GROUP BY 1")
 def a05_value_counts(spark, d):
     return P.value_counts(biz_records(spark, d), "country")
