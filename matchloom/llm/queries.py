@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embeddings, mixing, ngram_join, pii, secrets, spans, substring, toxicity, urls
+from . import chat, decontaminate, embeddings, mixing, ngram_join, pii, quality, resample, search, secrets, spans, substring, toxicity, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -202,6 +202,66 @@ SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) A
 FROM embeddings LEFT JOIN least_ids ON vec_id = least_ids.a LEFT JOIN n ON vec_id = n.a
 """
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labelled rows outside the held-out third."""
+    held_out = lambda c: F.coalesce(F.crc32(F.col(c).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id")).select("doc_id", "quality")
+    scored = quality.score_quality(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of all documents drawn towards the words of benchmark."""
+    found = resample.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), resample.Draw(longest=1))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP12_SQL = f"""
+WITH steps AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+), dw AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+dk AS (SELECT doc_id, word, count(*) AS k FROM (SELECT doc_id, unnest(w) AS word FROM dw) GROUP BY ALL),
+bk AS (SELECT word, count(*) AS k FROM (SELECT unnest({_TERMS}) AS word FROM benchmark) GROUP BY ALL),
+vocabulary AS (
+  SELECT word, xor(list_reduce(list_transform(range(len(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM (SELECT word, hex(encode(word)) AS x FROM (SELECT word FROM dk UNION SELECT word FROM bk)), steps
+), s AS (SELECT bucket, sum(k) AS s FROM dk JOIN vocabulary USING (word) GROUP BY 1),
+t AS (SELECT bucket, sum(k) AS t FROM bk JOIN vocabulary USING (word) GROUP BY 1),
+sums AS (SELECT coalesce((SELECT sum(s) FROM s), 0) + 10000 AS ss, coalesce((SELECT sum(t) FROM t), 0) + 10000 AS tt),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ss::DOUBLE) / ((coalesce(s, 0) + 1)::DOUBLE * tt::DOUBLE)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket), sums
+), weighed AS (
+  SELECT doc_id, sum(k) AS n, floor(sum(k * gain)::DOUBLE / sum(k)::DOUBLE)::BIGINT AS weight FROM dk JOIN vocabulary USING (word) JOIN gains USING (bucket) GROUP BY doc_id
+), scored AS (
+  SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM dw LEFT JOIN weighed USING (doc_id)
+), placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM scored LEFT JOIN placed USING (doc_id)
+"""
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = f"""
+WITH dw AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+counts AS (SELECT count(*) FILTER (len(w) > 0) AS docs, sum(len(w))::BIGINT AS words FROM dw),
+items AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM dw) SEMI JOIN items USING (term) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, counts GROUP BY term, docs),
+gives AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words))) AS g FROM tf JOIN weights USING (term), counts),
+found AS (SELECT item_id, doc_id, sum(g)::BIGINT AS score FROM gives JOIN items USING (term) GROUP BY ALL HAVING sum(g) > 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM found)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM placed WHERE rank <= 50
+"""
+
 
 QUERIES = {
     "op1_secrets": op1_secrets,
@@ -214,6 +274,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_mix": op9_mix,
     "op10_embeddings": op10_embeddings,
+    "op11_quality": op11_quality,
+    "op12_resample": op12_resample,
+    "op13_search": op13_search,
     "op3_ngram_links": op3_ngram_links,
 }
-ORACLE_SQL = {"op2_urls": OP2_SQL, "op3_ngram_join": OP3_SQL, "op3_ngram_links": OP3_LINKS_SQL, "op4_substring_dedup": OP4_SQL, "op6_chat": OP6_SQL, "op7_decontaminate": OP7_SQL, "op10_embeddings": OP10_SQL}
+ORACLE_SQL = {"op2_urls": OP2_SQL, "op3_ngram_join": OP3_SQL, "op3_ngram_links": OP3_LINKS_SQL, "op4_substring_dedup": OP4_SQL, "op6_chat": OP6_SQL, "op7_decontaminate": OP7_SQL, "op10_embeddings": OP10_SQL, "op12_resample": OP12_SQL, "op13_search": OP13_SQL}
