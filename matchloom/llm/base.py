@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,23 +43,24 @@ def stage(df: DataFrame, tag: str = "stage", rows: int | None = None) -> DataFra
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
-    for held in _SCOPES:
+    for held in _SCOPES.get():
         held.append(out)
     return out
 
 
-_SCOPES: list[list[DataFrame]] = []
+#: Open scopes of this thread; others have their own.
+_SCOPES: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("scopes", default=())
 
 
 @contextmanager
 def scope():
-    """A list that gathers the tables staged within; those still in it at the end are deleted. Remove what is to stay."""
+    """A list that gathers the tables that this thread stages within; those still in it at the end are deleted. Remove what is to stay."""
     held: list[DataFrame] = []
-    _SCOPES.append(held)
+    token = _SCOPES.set((*_SCOPES.get(), held))
     try:
         yield held
     finally:
-        _SCOPES[:] = [x for x in _SCOPES if x is not held]
+        _SCOPES.reset(token)
         unstage(*held)
 
 

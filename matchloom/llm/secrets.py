@@ -23,13 +23,14 @@ CLASSES = (
     ("hex", frozenset("0123456789ABCDEF"), 3.1),
     ("base64", frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"), 3.7),
 )
-#: Allow-list of windows that are words, alone or run together (paths, identifiers of programs), or dates and numbers.
+#: Allow-list of windows that are words, alone or run together (paths, identifiers of programs), or dates and numbers. From any place
+#: no two kinds of pieces and no two lengths of one can match, so pieces are taken whole and never given back: linear time.
 ALLOW = (
     r"(?:[A-Za-z]?[a-z]{0,2}(?=[A-Z0-9_/=+-]))?"  # the end of a word that the window cuts
-    r"(?:[A-Z]?[a-z]{3,}|[A-Z][a-z]{1,2}(?=[A-Z_/=+-])|[A-Z]{2,}(?![a-z])|(?<=[a-z]{3})[0-9]{1,2}(?![0-9])"
-    r"|(?<![A-Za-z0-9])(?:[A-Za-z0-9]{1,2}|[0-9]{1,4})(?![A-Za-z0-9])|[-_/=+])+"
+    r"(?>[A-Z]?[a-z]{3,}+|[A-Z][a-z]{1,2}+(?=[A-Z_/=+-])|[A-Z]{2,}+(?![a-z])|[A-Z]{2,}(?=[A-Z][a-z])|(?<=[a-z]{3})[0-9]{1,2}+(?![0-9])"
+    r"|(?<![A-Za-z0-9])(?:[A-Za-z0-9]{1,2}|[0-9]{1,4})(?![A-Za-z0-9])|[-_/=+])++"
     r"(?:[A-Z][a-z]{0,2}|[a-z]{1,2})?",
-    r"[0-9]+(?:[-_/][0-9]+)*",
+    r"[0-9]++(?:[-_/][0-9]++)*+",
 )
 #: Allow-listed wherever they stand in a candidate string (placeholders, public identifiers); what is left of it is judged by itself.
 CUT = (

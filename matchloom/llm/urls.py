@@ -26,8 +26,14 @@ class Rule:
         return self.host + self.path
 
 
+def order(r: Rule) -> tuple[int, str, str]:
+    """The longest rule wins; of equally long ones a block, then the greatest name."""
+    return len(r.name), r.verdict, r.name
+
+
 class Trie:
-    """Nodes are dicts: reversed host labels, then path segments that end with a slash; an unfinished segment is a prefix.
+    """Nodes are dicts: reversed host labels, then path segments that end with a slash; unfinished segments are kept by length, so
+    that a path asks for as many of its beginnings as there are lengths, however many rules there are.
 
     A rule's host fits that host and its subdomains; its path fits paths that start with it.
     """
@@ -41,7 +47,8 @@ class Trie:
             *whole, rest = r.path.split("/")
             for segment in whole:
                 node = node.setdefault(("p", segment), {})
-            node.setdefault("ends", {})[rest] = r
+            ends = node.setdefault("ends", {}).setdefault(len(rest), {})
+            ends[rest] = max(ends.get(rest, r), r, key=order)
 
     def find(self, host: str, path: str) -> Rule | None:
         best: Rule | None = None
@@ -53,9 +60,13 @@ class Trie:
                 break
             at, i = node, 0
             while at is not None:
-                for rest, r in at.get("ends", {}).items():
-                    if "/".join(segments[i:]).startswith(rest) and (best is None or (len(r.name), r.verdict) > (len(best.name), best.verdict)):
-                        best = r
+                ends = at.get("ends")
+                if ends:
+                    left = "/".join(segments[i:])
+                    for n, of_length in ends.items():
+                        r = of_length.get(left[:n])
+                        if r and (best is None or order(r) > order(best)):
+                            best = r
                 at = at.get(("p", segments[i])) if i < len(segments) - 1 else None
                 i += 1
         return best
@@ -73,12 +84,19 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(rest, r"(?s)^[^/?#]*([^?#]*)", 1)
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[Rule] | DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """(id, host, path, rule, verdict) of each row: the longest fitting rule's verdict, else ``default`` with a null rule.
 
-    Equally long rules that disagree: block wins. Host and path are cut by built-in functions; the trie is shipped to
-    the tasks once (its size is checked) and asked in Arrow batches. No shuffle. Null urls have an empty host and path.
+    Of equally long rules that fit a block wins; of those that agree the greatest name is given. Rules are a list, or a table (verdict,
+    host, path), which reaches the driver only if it is small enough to ship. Host and path are cut by built-in functions; the trie is
+    shipped to the tasks once (its size is checked) and asked in Arrow batches. No shuffle. Null urls have an empty host and path.
     """
+    if isinstance(rules, DataFrame):
+        parts = lambda c: F.length(F.regexp_replace(c, "[^./]", ""))
+        names = rules.select(F.concat("host", "path").alias("n"))
+        if (names.agg(F.sum(parts("n") + 2 + F.floor(F.length("n") / 200))).first()[0] or 0) > TRIE_NODES:
+            return judge_by_join(pages, rules, default, id_col, url_col)
+        rules = [Rule(*r) for r in rules.select("verdict", "host", "path").dropna().distinct().collect()]
     if sum(r.name.count(".") + r.name.count("/") + 2 + len(r.name) // 200 for r in rules) > TRIE_NODES:
         spark = pages.sparkSession
         table = spark.createDataFrame([(r.verdict, r.host, r.path) for r in rules], "verdict string, host string, path string")
@@ -96,7 +114,8 @@ def judge_urls(pages: DataFrame, rules: list[Rule], default: str = "allow", id_c
 
 
 def judge_by_join(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """The same for a table (verdict, host, path) of any size: joins on the host and its parents, once per distinct url.
+    """The same for a table (verdict, host, path) of any size: joins on the host and its parents and on beginnings of the path, once per
+    distinct url. A url asks with one beginning for each length that rules of the parent have, so no url meets a rule that does not fit.
 
     Distinct urls are joined (a url that a third of all pages share is one row) and rejoined to the pages. Both sides of
     each join are scans of staged tables, so adaptive execution splits a parent such as ``com`` and a hot url. Null urls have
@@ -106,11 +125,14 @@ def judge_by_join(pages: DataFrame, rules: DataFrame, default: str = "allow", id
     distinct = stage(cut.select("host", "path").distinct(), "url-distinct")
     labels = F.split("host", r"\.")
     parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    r = stage(rules.select(F.col("host").alias("parent"), F.col("path").alias("start"), F.col("verdict").alias("v")), "url-rules")
+    r = stage(rules.select(F.col("host").alias("parent"), F.col("path").alias("start"), F.col("verdict").alias("v")).where("parent IS NOT NULL AND start IS NOT NULL AND v IS NOT NULL").distinct(), "url-rules")
+    lengths = r.select("parent", F.length("start").alias("n")).distinct()
     best = (
         distinct.withColumn("parent", F.explode(parents))
-        .join(r, "parent")
-        .where(F.expr("startswith(path, start)"))
+        .join(lengths, "parent")
+        .where(F.col("n") <= F.length("path"))
+        .withColumn("start", F.col("path").substr(F.lit(1), F.col("n")))
+        .join(r, ["parent", "start"])
         .groupBy("host", "path")
         .agg(F.max(F.struct(F.length(F.concat("parent", "start")).alias("n"), F.col("v"), F.concat("parent", "start").alias("rule"))).alias("b"))
         .select("host", "path", F.col("b.rule").alias("rule"), F.col("b.v").alias("verdict"))
