@@ -111,3 +111,14 @@ class MatchConfig:
 
 #: Thresholds of the sweep: 0.400, 0.425, ... 0.950.
 SWEEP = [round(0.4 + 0.025 * i, 3) for i in range(23)]
+
+#: A small stored ensemble, to score pairs without a fit: (tree, node, feature, threshold, left, right, value); tree -1 is the start, a leaf has
+#: no feature.
+SAMPLE_TREES = [
+    (-1, 0, None, 0.0, -1, -1, -0.8),
+    (0, 0, "name_token_set", 0.6553, 1, 2, 0.0), (0, 1, "addr_lev", 0.4021, 3, 4, 0.0), (0, 2, "addr_token_set", 0.5127, 5, 6, 0.0),
+    (0, 3, None, 0.0, -1, -1, -1.1), (0, 4, None, 0.0, -1, -1, -0.35), (0, 5, None, 0.0, -1, -1, 0.2), (0, 6, None, 0.0, -1, -1, 1.4),
+    (1, 0, "num_jaccard", 0.1501, 1, 2, 0.0), (1, 1, "name_len_diff", 4.5, 3, 4, 0.0), (1, 2, None, 0.0, -1, -1, 0.9),
+    (1, 3, None, 0.0, -1, -1, 0.15), (1, 4, "name_lev", 0.5503, 5, 6, 0.0), (1, 5, None, 0.0, -1, -1, -0.7), (1, 6, None, 0.0, -1, -1, -0.05),
+    (2, 0, "is_s2", 0.5, 1, 2, 0.0), (2, 1, None, 0.0, -1, -1, -0.1), (2, 2, "name_exact", 0.5, 3, 4, 0.0), (2, 3, None, 0.0, -1, -1, 0.05), (2, 4, None, 0.0, -1, -1, 0.6),
+]

@@ -38,6 +38,11 @@ def resolve_threshold(override: float | None, config: dict | None, has_model: bo
     return (config or {}).get("optimal_threshold", match.default_threshold)
 
 
+def resolved_threshold(override: Column, configured: Column, has_model: Column, match: MatchConfig = MatchConfig()) -> Column:
+    """The same over a table of settings."""
+    return F.when(has_model, F.coalesce(override, configured, F.lit(match.default_threshold))).otherwise(F.lit(match.fallback_threshold))
+
+
 def accept(scored: DataFrame, threshold: float) -> DataFrame:
     """Pairs at or above the threshold."""
     return scored.where(F.col("prob") >= threshold)

@@ -8,22 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .config import ADDRESS, FEATURES, LEGAL, SWEEP, MatchConfig
+from .config import ADDRESS, FEATURES, LEGAL, SAMPLE_TREES, SWEEP, MatchConfig
 from .functions import normalize as N
 from .functions.lists import jaccard, join_ids, overlap, parse_ids
 from .functions.similarity import lcs_column, partial_udf, ratio_udf, token_set_udf, token_sort_udf
 from .operators import blocking as B
 from .operators import evaluation as E
 from .operators import profiling as P
+from .operators import passes as G
+from .operators import tfidf as TF
 from .operators import training as T
+from .operators import trees as TR
 from .operators.features import pair_attributes, pair_features
 from .operators.records import normalize_records
-from .operators.scoring import accept, assemble, fallback_score, resolve_threshold, score_pairs
+from .operators.scoring import accept, assemble, fallback_score, resolved_threshold
 from .operators.validation import CANDIDATE_HEADER, MATCH_HEADER, exit_code, list_findings, result_rows, subset_findings, validate
-from .plans.matching import compare_typed, sample_matches
+from .plans.matching import compare_records, cross_validate, match_chosen
 from .sources.adapters import biz_records, ground_truth, of_source
-from .sources.samples import SAMPLES, TYPED
-from .sources.scratch import scratch
+from .sources.scratch import materialize, scratch
 from .sources.tsv import filtered_scan, first_by_key, first_rows, last_by_key, read_ids, read_lines, read_tsv, run_summary, with_ordinal, write_candidate_pairs, write_matching_results
 from .streaming.arrivals import match_arrivals
 
@@ -373,6 +375,112 @@ def snk02_candidate_pairs(spark, d):
     return lists.select(F.col("s1_id").alias("source1_entity_id"), F.array_join("candidates", ",").alias("candidate_entity_ids"))
 
 
+# --- further passes of blocking -----------------------------------------------------------------------------------------
+
+_TFIDF = """
+tn AS (SELECT norm_country AS c, norm_name AS n, bool_or(entity_id LIKE 'S1-%') AS asked, bool_or(entity_id NOT LIKE 'S1-%') AS held FROM recs WHERE norm_name <> '' GROUP BY ALL),
+tg AS (SELECT c, n, gram, count(*) AS tf FROM (SELECT c, n, unnest(list_transform(range(1, length(n) + 1), lambda i: substr(' ' || n || ' ', i, 3))) AS gram FROM tn) GROUP BY ALL),
+ti AS (SELECT gram, ln((1 + (SELECT count(*) FROM tn))::DOUBLE / (1 + count(*))) + 1 AS idf FROM tg GROUP BY gram),
+tw AS (SELECT c, n, gram, tf * idf AS w FROM tg JOIN ti USING (gram)),
+tu AS (SELECT c, n, gram, w / sqrt(sum(w * w) OVER (PARTITION BY c, n)) AS w FROM tw),
+tc AS (SELECT a.c, a.n AS an, b.n AS bn, round(sum(a.w * b.w), 9) AS cosine
+  FROM (SELECT * FROM tu SEMI JOIN (SELECT c, n FROM tn WHERE asked) USING (c, n)) a JOIN (SELECT * FROM tu SEMI JOIN (SELECT c, n FROM tn WHERE held) USING (c, n)) b ON a.c = b.c AND a.gram = b.gram GROUP BY ALL),
+tfidf AS (SELECT * FROM (SELECT s.entity_id AS s1_id, t.entity_id AS cand_id, cosine, row_number() OVER (PARTITION BY s.entity_id ORDER BY cosine DESC, t.entity_id) AS rank
+  FROM tc JOIN recs s ON s.norm_country = c AND s.norm_name = an JOIN recs t ON t.norm_country = c AND t.norm_name = bn WHERE cosine >= 0.5 AND s.entity_id LIKE 'S1-%' AND t.entity_id NOT LIKE 'S1-%') WHERE rank <= 8)"""
+
+
+@query(f"WITH {NORM}, {_TFIDF} SELECT s1_id, cand_id, round(cosine, 6) AS cosine, rank::INTEGER AS rank FROM tfidf")
+def b12_tfidf_cosine(spark, d):
+    """The eight targets of each record with the greatest cosines of character trigrams."""
+    return TF.cosine_candidates(*sides(spark, d)).select("s1_id", "cand_id", r6("cosine"), "rank")
+
+
+_SORTED = """
+so AS (SELECT entity_id, norm_country, row_number() OVER (ORDER BY norm_country NULLS FIRST, norm_name NULLS FIRST, norm_addr NULLS FIRST, entity_id) AS p FROM recs),
+neighbours AS (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id, abs(a.p - b.p)::INTEGER AS distance FROM so a JOIN so b ON b.p BETWEEN a.p - 4 AND a.p + 4 AND a.norm_country = b.norm_country WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%')"""
+
+
+@query(f"WITH {NORM}, {_SORTED} SELECT * FROM neighbours")
+def b13_sorted_neighbourhood(spark, d):
+    return G.sorted_neighbourhood(*sides(spark, d))
+
+
+#: Sound classes of a to z (7: passed over), then those of digits.
+_SOUNDS = "translate(t, 'abcdefghijklmnopqrstuvwxyz0123456789', '012301270224550126230172020000000000')"
+
+
+def sql_soundex(t: str) -> str:
+    x = _SOUNDS.replace("translate(t,", f"translate({t},")
+    x = f"substr({x}, 1, 1) || replace(substr({x}, 2), '7', '')"
+    for k in range(1, 7):
+        x = f"regexp_replace({x}, '{k}+', '{k}', 'g')"
+    return f"upper(substr({t}, 1, 1)) || rpad(substr(replace(substr({x}, 2), '0', ''), 1, 3), 3, '0')"
+
+
+def sql_codes(name: str) -> str:
+    return f"list_distinct(list_transform(list_filter(string_split({name}, ' '), lambda t: length(t) >= 3 AND regexp_matches(t, '^[a-z]')), lambda t: {sql_soundex('t')}))"
+
+
+_PHONETIC = f"""
+sk AS (SELECT DISTINCT entity_id, country, substr(code, 1, i - 1) || '*' || substr(code, i + 1) AS key FROM (SELECT entity_id, norm_country AS country, unnest({sql_codes("norm_name")}) AS code FROM recs), (VALUES (2), (3), (4)) AS v(i)),
+sh AS (SELECT country, key FROM sk WHERE entity_id NOT LIKE 'S1-%' GROUP BY ALL HAVING count(*) > {CONFIG.max_key_freq}),
+phonetic AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY hits DESC, cand_id) AS rank FROM (
+  SELECT a.entity_id AS s1_id, b.entity_id AS cand_id, count(*) AS hits FROM sk a JOIN (SELECT * FROM sk ANTI JOIN sh USING (country, key)) b USING (country, key) WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%' GROUP BY ALL)) WHERE rank <= 12)"""
+
+
+@query(f"WITH {NORM}, {_PHONETIC} SELECT s1_id, cand_id, hits FROM phonetic")
+def b14_phonetic_pass(spark, d):
+    """Targets whose names sound most alike: equal codes, and codes one sound apart."""
+    return G.phonetic_candidates(*sides(spark, d))
+
+
+@query(
+    f"WITH {CUT}, codes AS (SELECT s1_id, cand_id, {sql_codes('s1_name')} AS a, {sql_codes('c_name')} AS b FROM cut) SELECT s1_id, cand_id, round(CASE WHEN len(a) = 0 AND len(b) = 0 THEN 1.0 ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END, 6) AS phonetic_overlap FROM codes"
+)
+def x22_phonetic_overlap(spark, d):
+    """A feature beyond the 21: overlap of the names' codes."""
+    return cut_pairs(spark, d).select("s1_id", "cand_id", F.round(G.phonetic_overlap(F.col("s1_name"), F.col("c_name")), 6).alias("phonetic_overlap"))
+
+
+_EDGES = f"""{CANDIDATES}, {_TFIDF}, {_SORTED}, {_PHONETIC},
+passes AS (SELECT s1_id, cand_id, score, 'keys' AS pass FROM cands UNION ALL SELECT s1_id, cand_id, cosine, 'cosine' FROM tfidf
+  UNION ALL SELECT s1_id, cand_id, 1 - distance / 5::DOUBLE, 'sorted' FROM neighbours UNION ALL SELECT s1_id, cand_id, least(hits, 12) / 12::DOUBLE, 'phonetic' FROM phonetic),
+edges AS (SELECT s1_id, cand_id, sum(round(score * 1000000)::BIGINT)::BIGINT AS weight, string_agg(pass, ',' ORDER BY pass) AS passes FROM passes GROUP BY ALL),
+pruned AS (SELECT s1_id, cand_id, weight, passes, row_number() OVER (PARTITION BY s1_id ORDER BY weight DESC, cand_id) AS rank FROM (
+  SELECT *, weight * count(*) OVER (PARTITION BY s1_id) >= sum(weight) OVER (PARTITION BY s1_id) OR weight * count(*) OVER (PARTITION BY cand_id) >= sum(weight) OVER (PARTITION BY cand_id) AS heavy FROM edges) WHERE heavy)"""
+
+
+def _passes(spark, d) -> dict[str, DataFrame]:
+    s1, s23 = sides(spark, d)
+    return {
+        "keys": B.Blocker().fit(s23).candidates(s1).select("s1_id", "cand_id", "score"),
+        "cosine": TF.cosine_candidates(s1, s23).withColumnRenamed("cosine", "score"),
+        "sorted": G.sorted_neighbourhood(s1, s23).withColumn("score", 1 - F.col("distance") / F.lit(5.0)),
+        "phonetic": G.phonetic_candidates(s1, s23).withColumn("score", F.least("hits", F.lit(12)) / F.lit(12.0)),
+    }
+
+
+@query(f"WITH {_EDGES} SELECT s1_id, cand_id, weight, passes, rank::INTEGER AS rank FROM pruned WHERE rank <= 19")
+def b15_pass_union(spark, d):
+    """Candidates of four passes as a weighted graph, pruned at both ends to fewer than twenty for each entity."""
+    return G.prune_graph(G.candidate_graph(_passes(spark, d)))
+
+
+@query(
+    f"""WITH {_EDGES}, {TRUTH.strip()},
+every AS (SELECT pass, s1_id, cand_id FROM passes UNION ALL SELECT 'union', s1_id, cand_id FROM pruned WHERE rank <= 19),
+pairs AS (SELECT s1_id, unnest(truth) AS cand_id FROM truth)
+SELECT pass, (SELECT count(*) FROM truth) AS entities, (SELECT count(*) FROM pairs) AS true_pairs, count(p.s1_id) AS found_pairs, count(*) AS candidate_pairs,
+  round(count(p.s1_id) / (SELECT count(*) FROM pairs), 6) AS pair_completeness, round(count(*) / (SELECT count(*) FROM truth), 6) AS avg_candidates
+FROM every LEFT JOIN pairs p USING (s1_id, cand_id) GROUP BY pass"""
+)
+def e07_pass_quality(spark, d):
+    """Completeness and candidates for an entity of each pass and of their union."""
+    passes = {k: materialize(v, f"pass-{k}") for k, v in _passes(spark, d).items()}
+    union = materialize(G.prune_graph(G.candidate_graph(passes)), "pass-union")
+    return G.pass_quality({**passes, "union": union}, truth(spark, d)).withColumns({c: F.round(c, 6) for c in ("pair_completeness", "avg_candidates")})
+
+
 # --- similarity and features --------------------------------------------------------------------------------------------
 
 
@@ -471,48 +579,48 @@ def snk05_run_summary(spark, d):
     return run_summary(results(spark, d))
 
 
-_PAGE = f"""raw AS {sql_rows("entity_id, business_name, business_address, country", [r for rows in SAMPLES.values() for r in rows])},
-recs AS (SELECT *, list_filter(string_split(norm_addr, ' '), lambda t: regexp_full_match(t, '[0-9]+')) AS nums FROM (SELECT entity_id, business_name, {sql_clean("business_name")} AS norm_name, {sql_clean("business_address")} AS norm_addr, {sql_country("country")} AS norm_country FROM raw)),
+_PAGE = f"""{BIZ},
+basic AS (SELECT entity_id, ordinal, business_name, {sql_clean("business_name")} AS norm_name, {sql_clean("business_address")} AS norm_addr, {sql_country("country")} AS norm_country FROM biz),
+page_recs AS (SELECT *, list_filter(string_split(norm_addr, ' '), lambda t: regexp_full_match(t, '[0-9]+')) AS nums FROM basic),
 pairs AS (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id, b.business_name, a.norm_name AS s1_name, b.norm_name AS c_name, a.norm_addr AS s1_addr, b.norm_addr AS c_addr,
-  CASE WHEN len(list_intersect(a.nums, b.nums)) > 0 THEN 1 ELSE 0 END AS common, CASE WHEN a.norm_country = b.norm_country THEN 1 ELSE 0 END AS same_country FROM recs a, recs b WHERE a.entity_id LIKE 'S1-%' AND b.entity_id NOT LIKE 'S1-%'),
+  CASE WHEN len(list_intersect(a.nums, b.nums)) > 0 THEN 1 ELSE 0 END AS common, CASE WHEN a.norm_country = b.norm_country THEN 1 ELSE 0 END AS same_country FROM page_recs a, page_recs b WHERE a.entity_id LIKE 'S1-%' AND a.ordinal % 100 = 0 AND b.entity_id NOT LIKE 'S1-%'),
 {sql_token_set("pairs", "s1_name", "c_name", "n_sim")},
 {sql_token_set("n_sim_t", "s1_addr", "c_addr", "a_sim")},
-page AS (SELECT *, round(greatest(0.01::DOUBLE, least(0.99::DOUBLE, 0.35::DOUBLE * n_sim + 0.25::DOUBLE * ({sql_ratio("s1_name", "c_name")}) + 0.20::DOUBLE * a_sim + 0.10::DOUBLE * common + 0.10::DOUBLE * same_country - 0.25::DOUBLE * (CASE WHEN n_sim >= 0.85 AND a_sim < 0.35 THEN 1 ELSE 0 END))), 9) AS score FROM a_sim_t)"""
+page AS (SELECT *, round(greatest(0.01::DOUBLE, least(0.99::DOUBLE, 0.35::DOUBLE * n_sim + 0.25::DOUBLE * ({sql_ratio("s1_name", "c_name")}) + 0.20::DOUBLE * a_sim + 0.10::DOUBLE * common + 0.10::DOUBLE * same_country - 0.25::DOUBLE * (CASE WHEN n_sim >= 0.85 AND a_sim < 0.35 THEN 1 ELSE 0 END))), 9) AS score FROM a_sim_t),
+placed AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_id) AS rank FROM page)"""
 
 
-@query(f"WITH {_PAGE} SELECT s1_id, cand_id, business_name, score, printf('%.2f', score) AS score_text, printf('%.3f', n_sim) AS name_similarity, printf('%.3f', a_sim) AS address_similarity FROM page")
+@query(f"WITH {_PAGE} SELECT s1_id, rank::INTEGER AS rank, cand_id, business_name, round(score, 6) AS score, printf('%.3f', n_sim) AS name_similarity, printf('%.3f', a_sim) AS address_similarity FROM placed WHERE rank <= 20")
 def m03_dashboard_score(spark, d):
-    """All targets against each sample S1 record (literal tables)."""
-    return sample_matches(spark)
+    """The matcher page: the 20 best targets of every S1 record whose number is divisible by 100, over all targets."""
+    r = biz_records(spark, d)
+    found = match_chosen(of_source(r, 1).where(F.col("ordinal") % 100 == 0), r.where(~F.col("entity_id").startswith("S1-")))
+    return found.withColumn("score", F.round("score", 6)).drop("score_text")
 
 
-_TYPED = f"""raw AS {sql_rows("n1, a1, n2, a2", [(*TYPED[0], *TYPED[1])])},
-done AS (SELECT {sql_expand(sql_clean("n1"), LEGAL)} AS name_1, {sql_expand(sql_clean("n2"), LEGAL)} AS name_2, {sql_expand(sql_clean("a1"), {**LEGAL, **ADDRESS})} AS addr_1, {sql_expand(sql_clean("a2"), {**LEGAL, **ADDRESS})} AS addr_2 FROM raw),
-{sql_token_set("done", "name_1", "name_2", "n_sim")},
-{sql_token_set("n_sim_t", "addr_1", "addr_2", "a_sim")}"""
+_TYPED = f"""{CUT},
+{sql_token_set("cut", "s1_name", "c_name", "n_sim")},
+{sql_token_set("n_sim_t", "s1_addr", "c_addr", "a_sim")}"""
 
 
-@query(f"WITH {_TYPED} SELECT name_1, name_2, addr_1, addr_2, round(100 * n_sim, 6) AS name_similarity, round(100 * a_sim, 6) AS addr_similarity, round(100 * n_sim, 6) > 80 AND round(100 * a_sim, 6) > 80 AS same FROM a_sim_t")
+@query(f"WITH {_TYPED} SELECT s1_id, cand_id, s1_name AS name_1, c_name AS name_2, round(100 * n_sim, 6) AS name_similarity, round(100 * a_sim, 6) AS addr_similarity, round(100 * n_sim, 6) > 80 AND round(100 * a_sim, 6) > 80 AS same FROM a_sim_t")
 def d03_compare_typed(spark, d):
-    return compare_typed(spark)
-
-
-#: (override, the model's config, is there a model): the fallback's threshold rules without a model.
-THRESHOLD_CASES = [(0.4, {"optimal_threshold": 0.6}, True), (None, {"optimal_threshold": 0.6}, True), (None, {}, True), (None, None, True), (0.4, {"optimal_threshold": 0.6}, False), (0.0, None, True)]
-
-
-@query(f"SELECT * FROM {sql_rows('no, threshold', list(enumerate([0.4, 0.6, 0.7, 0.7, 0.75, 0.0])))}".replace("SELECT * FROM", "SELECT no::BIGINT AS no, threshold::DOUBLE AS threshold FROM", 1))
-def m04_thresholds(spark, d):
-    return spark.createDataFrame([(i, resolve_threshold(*case)) for i, case in enumerate(THRESHOLD_CASES)], "no long, threshold double")
+    """Raw records compared as the page compares two typed ones: all pairs of the first cut."""
+    raw = biz_records(spark, d)
+    side = lambda id_, k: raw.select(F.col("entity_id").alias(id_), F.col("business_name").alias(f"n{k}"), F.col("business_address").alias(f"a{k}"))
+    pairs = B.first_cut(first_hits(spark, d)).select("s1_id", "cand_id").join(side("s1_id", 1), "s1_id").join(side("cand_id", 2), "cand_id")
+    return compare_records(pairs).select("s1_id", "cand_id", "name_1", "name_2", "name_similarity", "addr_similarity", "same")
 
 
 @query(f"WITH {CANDIDATES} SELECT s1_id, cand_id, rank, round(score, 6) AS score FROM cands")
 def b09_index_reused(spark, d):
-    """One index asked twice, for S1 records of even and of odd ordinals."""
+    """One index, built and held once, asked twice: for S1 records of even and of odd ordinals."""
     s1, s23 = sides(spark, d)
-    blocker = B.MultiStrategyBlocker().fit(s23)
+    blocker = B.MultiStrategyBlocker().fit(s23).keep()
     both = [blocker.candidates(s1.where(F.col("ordinal") % 2 == k)) for k in (0, 1)]
-    return both[0].unionByName(both[1]).select("s1_id", "cand_id", F.col("rank").cast("long").alias("rank"), r6("score"))
+    found = materialize(both[0].unionByName(both[1]).select("s1_id", "cand_id", F.col("rank").cast("long").alias("rank"), r6("score")), "reused")
+    blocker.release()
+    return found
 
 
 # --- files and streams --------------------------------------------------------------------------------------------------
@@ -654,16 +762,84 @@ def m07_training_pairs(spark, d):
     return T.class_weight(pairs).select("positives", "negatives", r6("weight"))
 
 
+_MEDIUM = f"""{CANDIDATES}, {TRUTH.strip()},
+known AS (SELECT s1_id, cand_id FROM cands UNION SELECT s1_id, unnest(truth) FROM truth),
+numbered AS (SELECT norm_country, entity_id, row_number() OVER (PARTITION BY norm_country ORDER BY md5('42' || entity_id), entity_id) - 1 AS p, count(*) OVER (PARTITION BY norm_country) AS n FROM recs WHERE entity_id NOT LIKE 'S1-%'),
+asked AS (SELECT entity_id AS s1_id, norm_country, n, coalesce(k, 0) AS k, ('0x' || substr(md5('42' || entity_id || 'start'), 1, 8))::BIGINT % n AS start
+  FROM recs JOIN (SELECT DISTINCT norm_country, n FROM numbered) USING (norm_country) LEFT JOIN (SELECT s1_id AS entity_id, count(*) AS k FROM known GROUP BY 1) USING (entity_id) WHERE entity_id LIKE 'S1-%'),
+draws AS (SELECT s1_id, norm_country, draw, (start + draw * (2147483647 % n)) % n AS p FROM (SELECT *, unnest(range(0, least(n, 3 + k))) AS draw FROM asked)),
+medium AS (SELECT s1_id, cand_id FROM (SELECT s1_id, entity_id AS cand_id, row_number() OVER (PARTITION BY s1_id ORDER BY draw) AS r
+  FROM draws JOIN numbered USING (norm_country, p) WHERE (s1_id, entity_id) NOT IN (SELECT s1_id, cand_id FROM known)) WHERE r <= 3)"""
+
+
+@query(f"WITH {_MEDIUM} SELECT * FROM medium")
+def m12_medium_negatives(spark, d):
+    """Three targets of the same country for each entity that are neither true matches nor candidates."""
+    s1, s23 = sides(spark, d)
+    true_pairs = truth(spark, d).select("s1_id", F.explode("truth").alias("cand_id"))
+    known = materialize(candidates(spark, d).select("s1_id", "cand_id").unionByName(true_pairs).distinct(), "known")
+    return T.medium_negatives(s1, s23, known)
+
+
+#: (setting, override, the config's threshold or None for the best of the sweep, is there a model)
+SETTINGS = [("fallback", 0.4, 0.6, False), ("override", 0.4, 0.6, True), ("config", None, 0.6, True), ("default", None, None, True), ("zero", 0.0, None, True)]
+
+
+@query(
+    f"""WITH {SCORED},
+settings AS (SELECT * FROM {sql_rows("setting, override, configured, has_model", [(s, o, c, int(m)) for s, o, c, m in SETTINGS])} UNION ALL SELECT 'tuned', NULL, (SELECT threshold FROM ({ORACLE_SQL["a14_best_threshold"]})), 1),
+resolved AS (SELECT setting, (CASE WHEN has_model = 1 THEN coalesce(override, configured, 0.7) ELSE 0.75 END)::DOUBLE AS threshold FROM settings)
+SELECT setting, threshold, count(s1_id) AS accepted, count(DISTINCT s1_id) AS matched FROM resolved LEFT JOIN scored ON prob >= threshold GROUP BY ALL"""
+)
+def m04_thresholds(spark, d):
+    """What the threshold of each setting accepts of all scored pairs; one setting has the threshold that the sweep finds best."""
+    schema = "setting string, override double, configured double, has_model boolean"
+    tuned = a14_best_threshold(spark, d).select(F.lit("tuned").alias("setting"), F.lit(None).cast("double").alias("override"), F.col("threshold").alias("configured"), F.lit(True).alias("has_model"))
+    settings = spark.createDataFrame(SETTINGS, schema).unionByName(tuned)
+    resolved = settings.select("setting", resolved_threshold(F.col("override"), F.col("configured"), F.col("has_model")).alias("threshold"))
+    pairs = scored(spark, d).select("s1_id", "prob")
+    return resolved.join(pairs, F.col("prob") >= F.col("threshold"), "left").groupBy("setting", "threshold").agg(F.count("s1_id").alias("accepted"), F.count_distinct("s1_id").alias("matched"))
+
+
+_TREE_FEATURES = [f for f in FEATURES if f not in ("name_partial", "addr_partial")]
+
+
+@query(
+    f"""WITH RECURSIVE x AS (SELECT s1_id, cand_id, [{", ".join(_TREE_FEATURES)}] AS v FROM (WITH {_X})),
+nodes AS (SELECT * FROM {sql_rows("tree, node, feature, threshold, l, r, value", [(t, n, _TREE_FEATURES.index(f) if f else -1, float(c), lo, hi, float(v)) for t, n, f, c, lo, hi, v in SAMPLE_TREES])}),
+walk AS (SELECT s1_id, cand_id, tree, 0 AS node FROM x, (SELECT DISTINCT tree FROM nodes)
+  UNION ALL SELECT s1_id, cand_id, tree, CASE WHEN v[feature + 1] <= threshold THEN l ELSE r END FROM walk JOIN nodes USING (tree, node) JOIN x USING (s1_id, cand_id) WHERE feature >= 0)
+SELECT s1_id, cand_id, round(1 / (1 + exp(-sum(value)::DOUBLE)), 6) AS prob FROM walk JOIN nodes USING (tree, node) WHERE feature < 0 GROUP BY ALL"""
+)
+def m01_tree_scores(spark, d):
+    """An ensemble written as a table of nodes, read again, and evaluated on the features of all candidates."""
+    path = scratch(spark, "trees")
+    cells = [(t, n, FEATURES.index(f) if f else -1, float(c), lo, hi, float(v)) for t, n, f, c, lo, hi, v in SAMPLE_TREES]
+    spark.createDataFrame(cells, TR.NODES).write.parquet(path)
+    return TR.score_by_trees(pair_features(candidates(spark, d)), TR.read_trees(spark, path)).select("s1_id", "cand_id", r6("prob"))
+
+
+def _labelled(spark, d, c: DataFrame) -> DataFrame:
+    """(s1_id, features, label) of the training pairs, written once: every pass of a fit reads them."""
+    s1, s23 = sides(spark, d)
+    pairs = T.training_pairs(c, truth(spark, d), s23)
+    return materialize(pair_features(pair_attributes(pairs, s1, s23)).select("s1_id", *FEATURES, "label"), "labelled")
+
+
 @query()
 def m08_gbt_scores(spark, d):
-    """Scores of a boosted model of the default size on all candidates."""
-    s1, s23 = sides(spark, d)
+    """Scores of boosted trees of the default size, grown leaf by leaf, on all candidates."""
     c = candidates(spark, d)
-    pairs = T.training_pairs(c, truth(spark, d), s23)
-    labelled = pair_features(pair_attributes(pairs, s1, s23)).select(*FEATURES, "label").persist()
-    model = T.fit_model(labelled)
-    labelled.unpersist()
-    return score_pairs(pair_features(c), model).select("s1_id", "cand_id", r6("prob"))
+    model = TR.fit_trees(_labelled(spark, d, c))[0]
+    return TR.score_by_trees(pair_features(c), model.table(spark)).select("s1_id", "cand_id", r6("prob"))
+
+
+@query()
+def m13_cross_validation(spark, d):
+    """F0.5 of five folds by entity, each scored by trees that never saw it, at the threshold that is best over all of them."""
+    c = candidates(spark, d)
+    _, quality = cross_validate(_labelled(spark, d, c), pair_features(c), truth(spark, d), 5, TR.TreeRule(trees=30))
+    return quality.select("fold", "entities", "threshold", r6("macro_f05"), r6("macro_precision"), r6("macro_recall"), r6("spread"))
 
 
 # --- validation, profiling ----------------------------------------------------------------------------------------------

@@ -5,16 +5,37 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
     """A new path that driver and executors share: under the session's ``spark.checkpoint.dir``, or a temporary folder where all
-    runs in one process and the setting is unset. On a cluster without it this raises. Files stay, as results read them."""
+    runs in one process and the setting is unset. On a cluster without it this raises. Files stay, as results read them, until ``release``."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="matchloom-")
-    return f"{at.rstrip('/')}/matchloom-{tag}-{uuid.uuid4().hex}"
+    path = f"{at.rstrip('/')}/matchloom-{tag}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+_MADE: list[str] = []
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: computed once, whatever happens to an executor."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all folders that ``scratch`` has named so far in this process, once no result that reads them is wanted any more."""
+    conf, n = spark.sparkContext._jsc.hadoopConfiguration(), len(_MADE)
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n

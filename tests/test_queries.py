@@ -10,24 +10,21 @@ def test_query_equals_sql(spark, name):
     same(QUERIES[name](spark, DATA), ORACLE_SQL[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL) - {"m08_gbt_scores"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_query_gives_rows(spark, name):
     assert QUERIES[name](spark, DATA).count() > 0
 
 
-def test_gbt_has_the_default_size(spark, monkeypatch):
+def test_index_is_held_once(spark):
+    """Both questions read the held index: no plan builds it again."""
     from matchloom import queries
+    from matchloom.operators.blocking import Blocker
 
-    class Fitted(Exception):
-        pass
-
-    def fit_model(labelled, **given):
-        assert not given
-        raise Fitted
-
-    monkeypatch.setattr(queries.T, "fit_model", fit_model)
-    with pytest.raises(Fitted):
-        queries.m08_gbt_scores(spark, DATA)
+    s1, s23 = queries.sides(spark, DATA)
+    blocker = Blocker().fit(s23).keep()
+    plan = blocker.candidates(s1)._jdf.queryExecution().optimizedPlan().toString()
+    blocker.release()
+    assert "InMemoryRelation" in plan and "LeftAnti" not in plan.split("InMemoryRelation")[0]
 
 
 def test_entry_gives_rows(spark):
