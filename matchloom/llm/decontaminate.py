@@ -189,8 +189,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, k: int = 10, id_col: st
         return np.where(known.value[at] == h, at, len(known.value))
 
     counts = docs.sparkSession.sparkContext.broadcast(word_counts(docs, text_col, place, len(wanted)))
-    ids = items.select("item").distinct().toArrow()["item"].combine_chunks()
     windows = keyed_windows(items, k, lambda h: counts.value[place(h)]).toArrow()
+    # of items with a window alone: INDEX_WORDS bounds them too
+    ids = windows["item"].combine_chunks().unique()
     shipped = docs.sparkSession.sparkContext.broadcast((build_index(windows, ids).__dict__, ids))
     item_type = items.schema["item"].dataType.simpleString()
 

@@ -16,12 +16,12 @@ SAMPLE, GRID, BOUND, BLOCK = 4096, 4, 12, 8192
 PARTS = 20_000
 
 
-def principal_axes(unit: DataFrame, dim: int) -> np.ndarray:
-    """Orthonormal axes, widest spread first, from SAMPLE vectors chosen by hash."""
+def principal_axes(unit: DataFrame, dim: int, first: int) -> np.ndarray:
+    """The ``first`` of the orthonormal axes, widest spread first, from SAMPLE vectors chosen by hash."""
     rows = unit.orderBy(F.xxhash64("v")).limit(SAMPLE).select("v").collect()
     x = np.frombuffer(b"".join(bytes(r["v"]) for r in rows), np.float64).reshape(-1, dim)
     _, axes = np.linalg.eigh(np.cov(x, rowvar=False) if len(x) > 1 else np.eye(dim))
-    return np.ascontiguousarray(axes[:, ::-1])
+    return np.ascontiguousarray(axes[:, ::-1][:, :first])
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,8 +161,8 @@ def block_pairs(boxes: DataFrame, eps: float) -> DataFrame:
 def join_blocks(distinct: DataFrame, dim: int, least: float, eps: float) -> DataFrame:
     """(key, n, to) among distinct unit vectors of one length: link counts (to null) and spanning edges (key, to)."""
     spark = distinct.sparkSession
-    shipped = spark.sparkContext.broadcast(principal_axes(distinct, dim))
     grid, bound = min(GRID, dim), min(BOUND, dim)
+    shipped = spark.sparkContext.broadcast(principal_axes(distinct, dim, max(grid, bound)))
 
     def place(batches):
         axes = shipped.value[:, :grid]

@@ -15,6 +15,8 @@ from .base import stage, unstage
 MOST = 3
 #: Newton steps at most, and the relative gap to a target at which they end.
 STEPS, GAP = 40, 1e-9
+#: Digits of a dual solution.
+DIGITS = 9
 #: Rounds in which one row of each source takes up what rounding has left over.
 FIXES = 4
 #: Sources whose tables of a row each may be broadcast or pass through the driver; more are staged and joined.
@@ -103,7 +105,9 @@ def tilts(hist: DataFrame, targets: DataFrame, few: bool) -> DataFrame:
         state = held(new, few)
         if not state.where("NOT done").limit(1).count():
             break
-    return state.select("source", "mean", F.when(F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12), F.lit(1e9)).otherwise(F.col("lam")).alias("lam"))
+    # the last digits depend on the order in which tasks were summed
+    lam = F.when(F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12), F.lit(1e9)).otherwise(F.round("lam", DIGITS))
+    return state.select("source", "mean", lam.alias("lam"))
 
 
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: list[str] = ()) -> DataFrame:

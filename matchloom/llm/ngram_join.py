@@ -127,6 +127,18 @@ def postings(docs: DataFrame, rule: JoinRule, tokens: np.ndarray, counts: np.nda
     return docs.select("text").mapInArrow(run, "token long, share int, sid long, n int, pos int, end_count long, end_name long")
 
 
+def dealt_postings(rows: DataFrame, rule: JoinRule) -> DataFrame:
+    """``rows`` (staged) with the rows of every token dealt to ``rule.shares`` that ``rule.hot`` of them or more hold, whether the table of
+    frequent shingles has it or not: exact counts, summed in the tasks first. There is one hot token for each ``hot`` rows at most."""
+    hot = stage(rows.where("share = 0").groupBy("token").agg(F.count(F.lit(1)).alias("held")).where(F.col("held") >= rule.hot), "ngram-hot")
+    many = hot.count()
+    if not many:
+        return rows
+    marked = rows.join(F.broadcast(hot) if many <= BROADCAST_ROWS else hot, "token", "left")
+    share = F.when((F.col("share") == 0) & F.col("held").isNotNull(), 1 + F.pmod("sid", F.lit(rule.shares))).otherwise(F.col("share"))
+    return marked.withColumn("share", share.cast("int")).drop("held")
+
+
 def shared_postings(rows: DataFrame) -> DataFrame:
     """(token, sid, n, pos, some, rest, reach) of the tokens in prefixes of two different sets or more, once for each set; a hot
     token is known to be frequent, so its rows stay without being brought together.
@@ -370,7 +382,9 @@ def similar_documents(docs: DataFrame, rule: JoinRule = JoinRule(), id_col: str
     top = told.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(rule.frequent).toArrow()
     tokens, counts = np.asarray(top["token"], np.int64).view(U64), np.asarray(top["n"], np.int64)
     order = np.argsort(tokens)
-    lists = stage(shared_postings(postings(source, rule, tokens[order], counts[order])), "ngram-lists")
+    held = stage(postings(source, rule, tokens[order], counts[order]), "ngram-postings")
+    lists = stage(shared_postings(dealt_postings(held, rule)), "ngram-lists")
+    unstage(held)
     sets = stage(rows.where("n > 0").groupBy("sid").agg(F.min("key").alias("key"), F.max("n").alias("n"), F.min("parts").alias("parts")), "ngram-reps")
 
     # a list's leader is a set that holds few shingles rarer than the token: the least edited one of a group of near copies

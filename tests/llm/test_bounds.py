@@ -6,7 +6,9 @@ import time
 
 import pytest
 
-from matchloom.llm import base, secrets, urls
+from pyspark.sql import functions as F
+
+from matchloom.llm import base, decontaminate, mixing, ngram_join, secrets, urls
 
 PAGES = "page_id long, url string, host string, rule string"
 
@@ -93,3 +95,49 @@ def test_scopes_of_threads_are_apart(spark):
         assert outer == [inner]  # an outer scope holds it too
     with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist"):
         spark.read.schema("id long").parquet(inner._staged_at).count()
+
+
+def test_tokens_that_no_task_finds_frequent_are_dealt(spark):
+    """A shingle that each of many tasks holds twice is in no table of frequent ones; its prefix rows are counted exactly."""
+    rule = ngram_join.JoinRule(hot=30, shares=11)
+    rows = [(7, 0, i) for i in range(60)] + [(8, 0, i) for i in range(29)] + [(9, 4, i) for i in range(50)] + [(i, -1, i) for i in range(60)]
+    held = spark.createDataFrame(rows, "token long, share int, sid long").repartition(20)
+    dealt = ngram_join.dealt_postings(held, rule)
+    shares = {r["token"]: r["s"] for r in dealt.where("share >= 0").groupBy("token").agg(F.collect_set("share").alias("s")).collect()}
+    assert set(shares[7]) == set(range(1, 12)) and shares[8] == [0] and shares[9] == [4]
+    assert dealt.count() == len(rows) and dealt.where("share = -1").count() == 60
+
+
+def test_near_copies_in_many_tasks(spark, monkeypatch):
+    """The same components whether hot tokens are dealt and joined or not, and by a join instead of a broadcast."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    base_text = [rng.choice(words) for _ in range(60)]
+    rows = []
+    for i in range(60):
+        text = list(base_text)
+        text[rng.randrange(60)] = f"edit{i}"
+        rows.append((i, " ".join(text if i % 3 else [rng.choice(words) for _ in range(40)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(30)
+    plain = {r["doc_id"]: r["component"] for r in ngram_join.similar_documents(docs, ngram_join.JoinRule(num=60)).collect()}
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", -1)
+    dealt = {r["doc_id"]: r["component"] for r in ngram_join.similar_documents(docs, ngram_join.JoinRule(num=60, hot=5, shares=3)).collect()}
+    assert plain == dealt and len({plain[i] for i in range(60) if i % 3}) == 1
+
+
+def test_mix_of_many_sources_takes_the_same(spark, monkeypatch):
+    """Tables of a row each source, staged and joined instead of broadcast."""
+    rng = random.Random(2)
+    rows = [(i, " ".join("w" for _ in range(rng.randint(0, 60))), f"s{rng.randint(0, 5)}" if i % 9 else None) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = lambda: {r["doc_id"]: (r["size"], r["target"], r["taken"]) for r in mixing.mix_sources(docs).collect()}
+    few = taken()
+    monkeypatch.setattr(mixing, "FEW", 0)
+    assert taken() == few and taken() == few
+
+
+def test_items_without_words_are_not_shipped(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "x")], "doc_id long, text string")
+    items = spark.createDataFrame([(f"i{k}", "" if k else "b c") for k in range(50)] + [(None, "x")], "item_id string, text string")
+    found = {r["doc_id"]: r["items"] for r in decontaminate.contamination(docs, items).collect()}
+    assert found == {1: ["i0"], 2: [None]}
