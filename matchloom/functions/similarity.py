@@ -168,11 +168,37 @@ def partial_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(partial_ratio(_list(a), _list(b)))
 
 
-@F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in ("lev", "token_sort", "partial")]))
-def string_features_udf(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    """What the pair features need besides the token-set ratio, in one crossing to Python."""
-    x, y = _list(a), _list(b)
-    return pd.DataFrame({"lev": ratio(x, y), "token_sort": token_sort_ratio(x, y), "partial": partial_ratio(x, y)})
+def _doubles(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(c, T.DoubleType()) for c in names])
+
+
+def cut_similarities_udf(floor: float):
+    """(name, addr): the token-set ratios of names and of addresses, the latter only where the former reaches ``floor``. One crossing to Python;
+    marked so that a filter on it does not make Spark compute it twice."""
+
+    @F.pandas_udf(_doubles("name", "addr"))
+    def both(name: pd.Series, other: pd.Series, addr: pd.Series, other_addr: pd.Series) -> pd.DataFrame:
+        n = token_set_ratio(_list(name), _list(other))
+        rows = np.flatnonzero(n >= floor)
+        x, y = _list(addr), _list(other_addr)
+        a = np.zeros(len(n))
+        a[rows] = token_set_ratio([x[i] for i in rows], [y[i] for i in rows])
+        return pd.DataFrame({"name": n, "addr": a})
+
+    return both.asNondeterministic()
+
+
+def pair_similarities_udf(token_sets: bool):
+    """All that the features need of two names and two addresses, in one crossing to Python; with ``token_sets`` their token-set ratios too."""
+    kinds = ["lev", "token_sort", "partial", *(["token_set"] if token_sets else [])]
+    by_kind = {"lev": ratio, "token_sort": token_sort_ratio, "partial": partial_ratio, "token_set": token_set_ratio}
+
+    @F.pandas_udf(_doubles(*(f"{field}_{kind}" for field in ("name", "addr") for kind in kinds)))
+    def every(name: pd.Series, other: pd.Series, addr: pd.Series, other_addr: pd.Series) -> pd.DataFrame:
+        sides = {"name": (_list(name), _list(other)), "addr": (_list(addr), _list(other_addr))}
+        return pd.DataFrame({f"{field}_{kind}": by_kind[kind](*pair) for field, pair in sides.items() for kind in kinds})
+
+    return every.asNondeterministic()
 
 
 def lcs_column(a: Column, b: Column) -> Column:

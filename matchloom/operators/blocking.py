@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import MatchConfig
-from ..functions.similarity import token_set_udf
+from ..functions.similarity import cut_similarities_udf
 
 
 def postings(records: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
@@ -64,8 +64,8 @@ def second_cut(pairs: DataFrame, config: MatchConfig = MatchConfig()) -> DataFra
 
     ``pairs`` has hits and both sides' names and addresses; the address comparison runs only on pairs over the name floor.
     """
-    named = pairs.withColumn("name_sim", token_set_udf("s1_name", "c_name")).where(F.col("name_sim") >= config.name_floor)
-    both = named.withColumn("addr_sim", token_set_udf("s1_addr", "c_addr"))
+    sims = pairs.withColumn("_s", cut_similarities_udf(config.name_floor)("s1_name", "c_name", "s1_addr", "c_addr"))
+    both = sims.withColumns({"name_sim": F.col("_s.name"), "addr_sim": F.col("_s.addr")}).drop("_s").where(F.col("name_sim") >= config.name_floor)
     scored = both.withColumn("score", F.round(config.name_weight * F.col("name_sim") + config.addr_weight * F.col("addr_sim"), 9))
     kept = scored.where((F.col("score") >= config.min_score) | (F.col("name_sim") >= config.name_keep))
     by = W.partitionBy("s1_id").orderBy(F.desc("score"), F.desc("hits"), "cand_id")

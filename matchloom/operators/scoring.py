@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MatchConfig
+from .trees import score_by_trees
 
 
 def fallback_score() -> Column:
@@ -21,10 +22,12 @@ def dashboard_score() -> Column:
     return F.round(F.greatest(F.lit(0.01), F.least(F.lit(0.99), raw)), 9)
 
 
-def score_pairs(features: DataFrame, model: PipelineModel | None = None) -> DataFrame:
-    """Adds ``prob``: the model's probability of a match, or the fallback score without a model."""
+def score_pairs(features: DataFrame, model: PipelineModel | DataFrame | None = None) -> DataFrame:
+    """Adds ``prob``: the probability of a match by a pipeline or a table of tree nodes, or the fallback score without a model."""
     if model is None:
         return features.withColumn("prob", fallback_score())
+    if isinstance(model, DataFrame):
+        return score_by_trees(features, model)
     scored = model.transform(features).withColumn("prob", F.round(vector_to_array("probability")[1], 9))
     return scored.select(*features.columns, "prob")
 

@@ -105,14 +105,14 @@ def encoding_findings(spark: SparkSession, path: str) -> DataFrame:
     return finding(bad.select("f").distinct(), "V-17", "error", F.col("f"))
 
 
-def validate(spark: SparkSession, matching: str, candidates: str | None, test_dir: str, check_ids: bool = False) -> DataFrame:
-    """All findings (rule, level, n, examples); no row of level error means that the files pass."""
-    source1 = f"{test_dir}/test_source1.tsv"
+def validate(spark: SparkSession, matching: str, candidates: str | None, test_dir: str, check_ids: bool = False, sources: list[str] | None = None) -> DataFrame:
+    """All findings (rule, level, n, examples); no row of level error means that the files pass. ``sources`` has the paths of the three test
+    sources where they do not stand in ``test_dir`` under their usual names."""
+    source1, *targets = sources or [f"{test_dir}/test_source{k}.tsv" for k in (1, 2, 3)]
     if not path_exists(spark, source1):
         return note(spark, "V-13", "error", source1)
     required = read_ids(spark, source1)
     out, valid = [], None
-    targets = [f"{test_dir}/test_source{k}.tsv" for k in (2, 3)]
     if not check_ids:
         out.append(note(spark, "V-14", "warning", "ids are not checked"))
     elif not all(path_exists(spark, t) for t in targets):

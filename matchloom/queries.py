@@ -917,8 +917,9 @@ def v_files(spark, d):
     def write(name: str, header: str, line: str, rows: DataFrame = ids) -> str:
         body = rows.select(F.lit(1).alias("o"), "doc_id", F.expr(line).alias("value"))
         head = spark.range(1).select(F.lit(0).alias("o"), F.lit(0).cast("long").alias("doc_id"), F.lit(header).alias("value"))
-        # one file: its header is the first line
-        (head.union(body) if header else body).coalesce(1).sortWithinPartitions("o", "doc_id").select("value").write.text(f"{at}/{name}")
+        # several files in order; the header is the first line of the first
+        lines = head.union(body).repartitionByRange(4, "o", "doc_id") if header else body.coalesce(1)
+        lines.sortWithinPartitions("o", "doc_id").select("value").write.text(f"{at}/{name}")
         return f"{at}/{name}"
 
     for k in (1, 2, 3):

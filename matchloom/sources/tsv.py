@@ -39,9 +39,9 @@ def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     else:
         marked = marked.withColumns({"_f": F.lit(""), "_b": F.shiftright("_m", 33)})
     blocks = marked.groupBy("_f", "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_s"))
-    # one row for each block of a file
+    # one row for each block of a file; broadcast where Spark finds it small
     offsets = blocks.select("_f", "_b", "_s", (F.sum("_n").over(W.orderBy("_f", "_b")) - F.col("_n")).alias("_o"))
-    return marked.join(F.broadcast(offsets), ["_f", "_b"]).withColumn(name, F.col("_o") + F.col("_m") - F.col("_s")).drop("_m", "_f", "_b", "_s", "_o")
+    return marked.join(offsets, ["_f", "_b"]).withColumn(name, F.col("_o") + F.col("_m") - F.col("_s")).drop("_m", "_f", "_b", "_s", "_o")
 
 
 def first_rows(df: DataFrame, n: int, ordinal: str = "ordinal") -> DataFrame:
@@ -83,21 +83,47 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.trim(F.split("value", "\t")[0]).alias("entity_id")).distinct()
 
 
-def write_id_lists(df: DataFrame, path: str, key: str, ids: Column, column: str, order: str) -> None:
-    """A header, then key, TAB and ids for every row in ``order``: text files in a folder, sorted by name and within."""
+def merge_parts(spark: SparkSession, folder: str, path: str) -> None:
+    """The text files of a folder as one file, in the order of their names; copied as a stream, and only then put in its place."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs_path = jvm.org.apache.hadoop.fs.Path
+    at = fs_path(folder)
+    fs = at.getFileSystem(conf)
+    parts = sorted(str(x.getPath()) for x in fs.listStatus(at) if str(x.getPath().getName()).startswith("part-"))
+    begun = fs_path(f"{path}.merging")
+    out = fs.create(begun, True)
+    for part in parts:
+        stream = fs.open(fs_path(part))
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+        stream.close()
+    out.close()
+    fs.delete(fs_path(path), True)
+    fs.rename(begun, fs_path(path))
+
+
+def write_id_lists(df: DataFrame, path: str, key: str, ids: Column, column: str, order: str, one_file: bool = False) -> None:
+    """A header, then key, TAB and ids for every row in ``order``: text files in a folder, sorted by name and within; with ``one_file`` these
+    are written beside ``path`` and merged into it."""
+    if one_file:
+        parts = f"{path}.parts"
+        write_id_lists(df, parts, key, ids, column, order)
+        merge_parts(df.sparkSession, parts, path)
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(parts)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        return
     body = df.select(F.col(order).alias("_o"), F.concat(F.col(key), F.lit("\t"), F.coalesce(ids, F.lit(""))).alias("value"))
     header = df.sparkSession.range(1).select(F.lit(-1).cast("long").alias("_o"), F.lit(f"{key}\t{column}").alias("value"))
     header.unionByName(body.withColumn("_o", F.col("_o").cast("long"))).orderBy("_o").select("value").write.mode("overwrite").text(path)
 
 
-def write_matching_results(results: DataFrame, path: str) -> None:
+def write_matching_results(results: DataFrame, path: str, one_file: bool = False) -> None:
     """matching_results: sorted ids, empty for a single entity, in S1 order."""
-    write_id_lists(results, path, "source1_entity_id", join_ids(F.col("matched")), "matched_entity_ids", "ordinal")
+    write_id_lists(results, path, "source1_entity_id", join_ids(F.col("matched")), "matched_entity_ids", "ordinal", one_file)
 
 
-def write_candidate_pairs(results: DataFrame, path: str) -> None:
+def write_candidate_pairs(results: DataFrame, path: str, one_file: bool = False) -> None:
     """candidate_pairs: ids in order of rank, in S1 order."""
-    write_id_lists(results, path, "source1_entity_id", F.array_join("candidates", ","), "candidate_entity_ids", "ordinal")
+    write_id_lists(results, path, "source1_entity_id", F.array_join("candidates", ","), "candidate_entity_ids", "ordinal", one_file)
 
 
 def read_config(path: str, default_threshold: float = 0.70) -> dict:
