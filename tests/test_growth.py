@@ -1,10 +1,12 @@
 """Steps whose cost must not grow with the pairs that share a key."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from matchloom.config import MatchConfig
+from matchloom.functions import similarity as S
 from matchloom.operators import blocking as B
 
 
@@ -48,3 +50,16 @@ def test_pairs_are_not_shuffled(spark):
     assert found.count() <= 12 * 400 < pairs / 5
     # "hits" of pairs come from lists of at most 12 targets, one for each subset of keys
     assert "ids" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_native_lcs_of_long_texts(spark):
+    """Several words of bits, letters beyond the first plane, and no more than a step a character."""
+    r = random.Random(5)
+    text = lambda n: "".join(r.choice("abcd \u00e9\U0001f600") for _ in range(n))
+    cells = [(text(r.choice([0, 1, 59, 60, 61, 119, 121, 200])), text(r.choice([0, 1, 30, 60, 61, 180]))) for _ in range(200)] * 20
+    df = spark.createDataFrame(cells, "a string, b string").repartition(8).cache()
+    df.count()
+    start = time.time()
+    got = df.select("a", "b", S.lcs_column(F.col("a"), F.col("b")).alias("l")).collect()
+    assert time.time() - start < 40
+    assert [x.l for x in got] == S.lcs([x.a for x in got], [x.b for x in got]).tolist()
