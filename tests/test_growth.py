@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from matchloom.config import MatchConfig
 from matchloom.functions import similarity as S
 from matchloom.operators import blocking as B
+from matchloom.operators import passes as G
 
 
 def rows(spark, prefix, n, seed):
@@ -63,3 +64,15 @@ def test_native_lcs_of_long_texts(spark):
     got = df.select("a", "b", S.lcs_column(F.col("a"), F.col("b")).alias("l")).collect()
     assert time.time() - start < 40
     assert [x.l for x in got] == S.lcs([x.a for x in got], [x.b for x in got]).tolist()
+
+
+def test_phonetic_pass_makes_no_pairs_in_plans(spark, monkeypatch):
+    """Blocks of few rows give what pairs give; no join of the plan makes pairs of an entity and a target."""
+    s1, s23 = rows(spark, "S1", 60, 6), rows(spark, "S2", 90, 7)
+    config = MatchConfig(first_cut=5)
+    want = B.first_cut(B.hits(G.phonetic_postings(s1), G.phonetic_postings(s23)), config).collect()
+    for name, size in (("ASKED_ROWS", 7), ("HELD_ROWS", 20), ("LEAST_ROWS", 1)):
+        monkeypatch.setattr(B, name, size)
+    got = G.phonetic_candidates(s1, s23, config)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
+    assert "CoGroupsInArrow" in got._jdf.queryExecution().optimizedPlan().toString()
