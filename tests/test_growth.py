@@ -9,6 +9,7 @@ from matchloom.config import MatchConfig
 from matchloom.functions import similarity as S
 from matchloom.operators import blocking as B
 from matchloom.operators import passes as G
+from matchloom.operators import tfidf as TF
 
 
 def rows(spark, prefix, n, seed):
@@ -76,3 +77,14 @@ def test_phonetic_pass_makes_no_pairs_in_plans(spark, monkeypatch):
     got = G.phonetic_candidates(s1, s23, config)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
     assert "CoGroupsInArrow" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cosines_in_blocks(spark, monkeypatch):
+    """Blocks of few names give the same pairs, and pairs are made in tasks, not by a join."""
+    s1, s23 = rows(spark, "S1", 60, 8), rows(spark, "S2", 60, 9)
+    want = sorted(map(tuple, TF.similar_names(s1, s23).collect()))
+    for name, size in (("ASKED_ROWS", 7), ("HELD_ROWS", 9), ("LEAST_ROWS", 1)):
+        monkeypatch.setattr(TF, name, size)
+    got = TF.similar_names(s1, s23)
+    assert want and sorted(map(tuple, got.collect())) == want
+    assert "CoGroupsInArrow" in got._jdf.queryExecution().optimizedPlan().toString()
