@@ -3,11 +3,14 @@
 import random
 import time
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from matchloom.config import MatchConfig
 from matchloom.functions import similarity as S
 from matchloom.operators import blocking as B
+from matchloom.operators import matcher as MA
 from matchloom.operators import passes as G
 from matchloom.operators import tfidf as TF
 
@@ -88,3 +91,21 @@ def test_cosines_in_blocks(spark, monkeypatch):
     got = TF.similar_names(s1, s23)
     assert want and sorted(map(tuple, got.collect())) == want
     assert "CoGroupsInArrow" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_matcher_compares_few_pairs_in_full():
+    """Texts of few letters, so that counts of characters tell little: one pattern against all names and addresses does. Exact all the same."""
+    r = random.Random(10)
+    text = lambda k: " ".join("".join(r.choice("abcdeh") for _ in range(r.randint(2, 8))) for _ in range(k))
+    cells = [(f"S2-{i}", f"{text(3)} {r.choice(['inc', 'corp', ''])}", f"{i % 40} {text(9)}", "US", [str(i % 40)], "") for i in range(3000)]
+    table = lambda some: pa.table(list(zip(*some, strict=True)), ["id", "name", "addr", "country", "nums", "shown"])
+    asked = [(f"S1-{k}", *cells[k][1:]) for k in range(8)] + [("S1-8", "ab " + "long " * 30, "", "US", [], ""), ("S1-9", "", "x é", "FR", [], "")]
+    best = MA.Best(MA.Records(table(asked)), MA.MatcherRule(top=5), MatchConfig())
+    for at in range(0, 3000, 1000):
+        best.search(MA.Records(table(cells[at : at + 1000])))
+    # 26108 before
+    assert best.compared < 6000
+    every, config = MA.Records(table(cells)), MatchConfig()
+    for i in range(len(asked)):
+        score = every.scores(np.arange(3000), best.asked, np.full(3000, i), every.fixed(best.asked, i), config)[0]
+        assert [(x[1], -x[0]) for x in best.held[i]] == [(c, s) for s, c in sorted(zip((-score).tolist(), every.ids, strict=True))[:5] for s in [-s]]
