@@ -13,6 +13,7 @@ from matchloom.operators import blocking as B
 from matchloom.operators import matcher as MA
 from matchloom.operators import passes as G
 from matchloom.operators import tfidf as TF
+from matchloom.operators import training as T
 
 
 def rows(spark, prefix, n, seed):
@@ -109,3 +110,24 @@ def test_matcher_compares_few_pairs_in_full():
     for i in range(len(asked)):
         score = every.scores(np.arange(3000), best.asked, np.full(3000, i), every.fixed(best.asked, i), config)[0]
         assert [(x[1], -x[0]) for x in best.held[i]] == [(c, s) for s, c in sorted(zip((-score).tolist(), every.ids, strict=True))[:5] for s in [-s]]
+
+
+def test_accepted_counts_make_no_pairs_of_settings(spark):
+    """Every setting has a row; no exchange carries pairs times settings, and no distinct count expands them."""
+    cells = [(f"S1-{i % 50}", f"S2-{i}", (i * 37 % 101) / 100) for i in range(400)]
+    pairs = spark.createDataFrame(cells, "s1_id string, cand_id string, prob double")
+    settings = [("a", 0.0), ("b", 0.5), ("c", 0.5), ("d", 0.99), ("e", 2.0)]
+    got = T.accepted_counts(spark.createDataFrame(settings, "setting string, threshold double"), pairs)
+    want = [(s, t, sum(p >= t for _, _, p in cells), len({x for x, _, p in cells if p >= t})) for s, t in settings]
+    assert sorted(map(tuple, got.collect())) == want
+    empty = T.accepted_counts(spark.createDataFrame(settings, "setting string, threshold double"), pairs.where("false"))
+    assert sorted(map(tuple, empty.collect())) == [(s, t, 0, 0) for s, t in settings]
+
+
+def test_thresholds_score_pairs_once(spark, monkeypatch, tmp_path):
+    """The sweep and the settings read the same written scores."""
+    from matchloom import queries as Q
+
+    calls, scored = [], Q.scored
+    monkeypatch.setattr(Q, "scored", lambda *a: (calls.append(1), scored(*a))[1])
+    assert Q.m04_thresholds(spark, "/root/testdata/sf0.001").count() == 6 and len(calls) == 1
