@@ -14,6 +14,7 @@ from matchloom.operators import matcher as MA
 from matchloom.operators import passes as G
 from matchloom.operators import tfidf as TF
 from matchloom.operators import training as T
+from matchloom.operators import trees as TR
 
 
 def rows(spark, prefix, n, seed):
@@ -131,3 +132,19 @@ def test_thresholds_score_pairs_once(spark, monkeypatch, tmp_path):
     calls, scored = [], Q.scored
     monkeypatch.setattr(Q, "scored", lambda *a: (calls.append(1), scored(*a))[1])
     assert Q.m04_thresholds(spark, "/root/testdata/sf0.001").count() == 6 and len(calls) == 1
+
+
+def test_trees_grow_in_one_stage(spark, monkeypatch):
+    """No job for each pass: all trees of all models come out of one barrier stage, the same as by jobs, in however many tasks."""
+    r = random.Random(11)
+    cells = [(f"S1-{i // 3}", r.random(), round(r.random(), 1), None if i % 17 == 0 else r.random(), int(r.random() < 0.4)) for i in range(700)]
+    df = spark.createDataFrame(cells, "s1_id string, a double, b double, c double, label int").withColumn("label", F.when(F.col("a") + F.col("b") > 1.1, 1).otherwise(F.col("label"))).cache()
+    rule, got = TR.TreeRule(trees=6, depth=4, least_rows=5, restage=4), []
+    for few, size in ((0, 100_000), (8, 100_000), (8, 300)):
+        monkeypatch.setattr(TR, "FEW_TASKS", few)
+        monkeypatch.setattr(TR, "TASK_ROWS", size)
+        spark.sparkContext.setJobGroup(f"grow-{few}-{size}", "")
+        got.append([sorted(map(tuple, x.table(spark).collect())) for x in TR.fit_trees(df, rule, ["a", "b", "c"], folds=2, id_col="s1_id")])
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"grow-{few}-{size}"))
+        assert jobs < 20 or not few
+    assert got[0] == got[1] == got[2] and len(got[0][0]) > 50
