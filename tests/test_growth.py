@@ -168,3 +168,27 @@ def test_records_clean_the_head_of_a_text(spark):
     assert A.first_words(long).agg(F.sum(F.size("_words"))).first()[0] == 1500 * 14
     # 24.8 s before
     assert time.time() - start < 12
+
+
+def test_blocks_travel_few_times(spark):
+    """Both sides of a country are cut, so a row meets about the root of the tasks in blocks, not all of them."""
+    side = lambda n, m: spark.range(n).select(F.lit("A").alias("country")).unionAll(spark.range(m).select(F.lit("B").alias("country")))
+    grid = lambda k, **most: {x.country: (x.asked_parts, x.held_parts) for x in B.block_grid(side(20_000, 30), side(40_000, 10), k, *{"asked": 20_000, "held": 100_000, "least": 500, **most}.values()).collect()}
+    # 40 asked blocks before, each with a copy of all that is held
+    assert grid(40) == {"A": (7, 6), "B": (1, 1)}
+    (a, b), small = grid(400)["A"], grid(1)
+    assert a * b >= 400 and max(a, b) <= 25 and small == {"A": (1, 1), "B": (1, 1)}
+    assert grid(1, asked=3000, held=7000)["A"] == (7, 6)
+
+
+def test_best_cosines_of_blocks(spark, monkeypatch):
+    """A block hands on an asked name's best alone; what it leaves out cannot be among the best of all."""
+    s1, s23 = rows(spark, "S1", 300, 13), rows(spark, "S2", 400, 14)
+    rule = TF.CosineRule(least=0.2, top=3)
+    every, some = (TF.similar_names(s1, s23, rule, best).count() for best in (False, True))
+    assert some < every / 3
+    want = sorted(map(tuple, TF.cosine_candidates(s1, s23, rule).collect()))
+    for name, size in (("ASKED_ROWS", 30), ("HELD_ROWS", 40), ("LEAST_ROWS", 1)):
+        monkeypatch.setattr(TF, name, size)
+    assert want and sorted(map(tuple, TF.cosine_candidates(s1, s23, rule).collect())) == want
+    assert sorted(map(tuple, TF.similar_names(s1, s23, rule).where("cosine >= 0.6").collect())) == sorted(map(tuple, TF.similar_names(s1, s23, TF.CosineRule(least=0.6)).collect()))
