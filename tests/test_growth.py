@@ -192,3 +192,12 @@ def test_best_cosines_of_blocks(spark, monkeypatch):
         monkeypatch.setattr(TF, name, size)
     assert want and sorted(map(tuple, TF.cosine_candidates(s1, s23, rule).collect())) == want
     assert sorted(map(tuple, TF.similar_names(s1, s23, rule).where("cosine >= 0.6").collect())) == sorted(map(tuple, TF.similar_names(s1, s23, TF.CosineRule(least=0.6)).collect()))
+
+
+def test_passes_are_written_once(spark):
+    """The union reads four tables; the passes' own plans are no part of its plan."""
+    from matchloom import queries as Q
+
+    for df in Q._passes(spark, "/root/testdata/sf0.001").values():
+        assert df.columns == ["s1_id", "cand_id", "score"]
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
