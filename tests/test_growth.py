@@ -1,12 +1,14 @@
 """Steps whose cost must not grow with the pairs that share a key."""
 
 import random
+import threading
 import time
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from matchloom import queries as Q
 from matchloom.config import MatchConfig
 from matchloom.functions import normalize as N
 from matchloom.functions import similarity as S
@@ -201,3 +203,20 @@ def test_passes_are_written_once(spark):
     for df in Q._passes(spark, "/root/testdata/sf0.001").values():
         assert df.columns == ["s1_id", "cand_id", "score"]
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_passes_run_side_by_side(spark, monkeypatch):
+    """No pass of the union waits for another one's end; with one after the other the barrier breaks."""
+    meet = threading.Barrier(4, timeout=60)
+
+    def together(f):
+        def run(*args, **more):
+            meet.wait()
+            return f(*args, **more)
+
+        return run
+
+    for where, name in ((B.Blocker, "candidates"), (TF, "cosine_candidates"), (G, "sorted_neighbourhood"), (G, "phonetic_candidates")):
+        monkeypatch.setattr(where, name, together(getattr(where, name)))
+    found = Q._passes(spark, "/root/testdata/sf0.001")
+    assert sorted(found) == ["cosine", "keys", "phonetic", "sorted"] and all(df.columns == ["s1_id", "cand_id", "score"] and df.count() for df in found.values())
