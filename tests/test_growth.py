@@ -296,3 +296,28 @@ def test_windows_are_compared_at_once():
     S.partial_ratio(names[:10_000], names[10_000:])
     # 4 to 8 s before
     assert time.process_time() - start < 2.5
+
+
+def test_the_smaller_sibling_is_counted():
+    """Of two siblings the one with fewer rows is summed up; the other is what is left of their parent."""
+    rng = np.random.default_rng(17)
+    bins = rng.integers(0, 16, (2000, 3)).astype(np.int16)
+    y = ((bins[:, 0] > 12) ^ (bins[:, 1] > 13) ^ (rng.random(2000) < 0.1)).astype(float)
+    lists = pa.ListArray.from_arrays(np.arange(2001, dtype=np.int32) * 3, pa.array(bins.ravel()))
+    rule, edges = TR.TreeRule(trees=1, bins=16, depth=5, columns=1.0), np.tile(np.arange(15.0), (3, 1))
+    batch = pa.RecordBatch.from_arrays([lists, pa.array(y), pa.array(np.ones(2000)), pa.array(np.full(2000, -1, np.int32))], ["bins", "y", "w", "fold"])
+    held, level, asked = TR._Held([batch], [0.0], 3, rule), 0, []
+
+    def count(found, wanted):
+        nonlocal level
+        if level:
+            held.descend(found, level - 1)
+        level += 1
+        rows = np.bincount(held.at[0], minlength=128)
+        asked.extend((rows[k], rows[k ^ 1]) for k in wanted[0] if k > 1)
+        full = np.moveaxis(held.histograms(wanted, [np.arange(3)])[0].reshape(3, len(wanted[0]), 3, 16), 0, -1) / np.array([TR.PARTS, TR.PARTS, 1.0])
+        return [dict(zip(wanted[0], full, strict=True))]
+
+    (tree,), _ = TR._grown(0, 1, 3, edges, rule, count)
+    assert len(tree.feature) > 10 and len(asked) > 5 and all(own <= other for own, other in asked)
+    assert np.array_equal(np.bincount(TR.leaf_of(tree, bins, 5), minlength=len(tree.feature)) > 0, tree.feature < 0)
